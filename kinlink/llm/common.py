@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Bytes of A-Z to a-z.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: As LOWER, with every ASCII byte that is neither a digit nor a letter turned into a blank.
 ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
-M64 = np.uint64(0xFFFFFFFFFFFFFFFF)
+_OWN: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,16 +31,29 @@ def documents(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *extra)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; where that is unset (tests, local mode), a new temporary folder."""
+    said = spark.conf.get("spark.checkpoint.dir", None)
+    if not said:
+        said = _OWN.setdefault("dir", tempfile.mkdtemp(prefix="kinlink-"))
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(said)
+    return said
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the session names."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        # local mode only: a cluster names its shared folder in spark.checkpoint.dir
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kinlink-"))
+    """Cut the lineage of a small frame with a reliable checkpoint."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write a frame as Parquet (in the shared folder if no path is given) and read it back."""
+    path = path or f"{shared_folder(df.sparkSession)}/kinlink-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def lower_words(text: str) -> list[bytes]:
     """Words between blanks (0x20, 0x09-0x0D), A-Z lower-cased."""
     return text.encode().translate(LOWER).split()
@@ -91,19 +108,33 @@ def shingles(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def blocks(batches: Iterator[pd.DataFrame], chars: int = 4_000_000, rows: int = 4096) -> Iterator[pd.DataFrame]:
-    """The batches in pieces of bounded text volume (one row at least)."""
-    for pdf in batches:
-        if not len(pdf):
-            continue
-        sizes = pdf["text"].str.len().to_numpy()
-        start = total = 0
-        for i, n in enumerate(sizes):
-            if i > start and (total + n > chars or i - start >= rows):
-                yield pdf.iloc[start:i]
-                start, total = i, 0
-            total += n
-        yield pdf.iloc[start:]
+def map_texts(df: DataFrame, make: Callable[[], Callable[[dict], Iterator[dict]]], schema: str, chars: int = 4_000_000, rows: int = 4096) -> DataFrame:
+    """Apply a function to blocks of rows through Arrow batches.
+
+    make() runs once in each task and returns the function; that gets {column: list} of a block with at most so many
+    characters of text (one row at least) and yields {column: list or array} for the schema. Nulls stay None.
+    """
+    kind = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False) if "text" in batch.schema.names else np.zeros(batch.num_rows, int)
+            start = total = 0
+            ends = []
+            for i, n in enumerate(sizes.tolist()):
+                if i > start and (total + n > chars or i - start >= rows):
+                    ends.append((start, i))
+                    start, total = i, 0
+                total += n
+            if batch.num_rows:
+                ends.append((start, batch.num_rows))
+            for i, j in ends:
+                for out in fn({k: v.to_pylist() for k, v in zip(batch.schema.names, batch.slice(i, j - i).columns, strict=True)}):
+                    yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+
+    return df.mapInArrow(run, kind)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

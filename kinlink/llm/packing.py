@@ -14,11 +14,10 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, map_texts
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bucket int"
 _CODERS: dict[str, object] = {}
@@ -55,27 +54,27 @@ def pack(docs: DataFrame, tokenizer: str, limit: int = 1024, end_id: int = 0, wi
     if limit & (limit - 1) or limit < 1:
         raise ValueError("limit must be a power of two")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = SCHEMA + (", ids array<int>" if with_ids else "")
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def make():
         enc = coder(tokenizer)
-        for pdf in batches:
-            rows: list[tuple] = []
-            for doc_id, text in zip(pdf["doc_id"].tolist(), pdf["text"].tolist(), strict=True):
+
+        def pieces(block: dict) -> Iterator[dict]:
+            out: dict[str, list] = {k: [] for k in names}
+            for doc_id, text in zip(block["doc_id"], block["text"], strict=True):
                 ids = np.array([*enc.encode(text, allowed_special="all"), end_id], "<u4")
                 start = 0
                 for n in lengths(len(ids), limit):
                     piece = ids[start : start + n]
-                    row = (doc_id, start, n, zlib.crc32(piece.tobytes()), len(ids), n.bit_length() - 1)
-                    rows.append((*row, piece.astype("i4")) if with_ids else row)
+                    for k, v in zip(names, (doc_id, start, n, zlib.crc32(piece.tobytes()), len(ids), n.bit_length() - 1, piece.astype("i4")), strict=False):
+                        out[k].append(v)
                     start += n
-                if len(rows) >= 20_000:
-                    yield pd.DataFrame(rows, columns=columns)
-                    rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=columns)
+            yield out
 
-    schema = SCHEMA + (", ids array<int>" if with_ids else "")
-    columns = [c.split()[0] for c in schema.split(", ")]
-    out = documents(docs).mapInPandas(run, schema)
+        return pieces
+
+    out = map_texts(documents(docs), make, schema)
     return out.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
 
 

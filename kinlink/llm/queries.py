@@ -8,12 +8,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing
+from . import decontaminate, packing, secrets
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+
+def op2_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontaminate.build_index(table(spark, sf_dir, "documents"))
+    found = decontaminate.search(index, table(spark, sf_dir, "benchmark"), window=10)
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + (x["end"] - x["start"]))
+    ids = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+def op4_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    of = lambda kind: F.filter("spans", lambda x: x["kind"] == kind)
+    said = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    base = F.filter("spans", lambda x: x["kind"].isin("assign", "access", "hex"))
+    return found.select("doc_id", *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")), F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
+
+
 def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, limit=1024, end_id=0)
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
