@@ -112,13 +112,18 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[dict], Iterator[dict]]
     """Apply a function to blocks of rows through Arrow batches.
 
     make() runs once in each task and returns the function; that gets {column: list} of a block with at most so many
-    characters of text (one row at least) and yields {column: list or array} for the schema. Nulls stay None.
+    characters of text (one row at least) and yields {column: list or array} for the schema. Nulls stay None. If the
+    function has an attribute finish, that is called once after the task's last block and yields likewise.
     """
     kind = StructType.fromDDL(schema)
     arrow = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
+
+        def made(out: dict) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False) if "text" in batch.schema.names else np.zeros(batch.num_rows, int)
             start = total = 0
@@ -132,7 +137,9 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[dict], Iterator[dict]]
                 ends.append((start, batch.num_rows))
             for i, j in ends:
                 for out in fn({k: v.to_pylist() for k, v in zip(batch.schema.names, batch.slice(i, j - i).columns, strict=True)}):
-                    yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+                    yield made(out)
+        for out in getattr(fn, "finish", tuple)():
+            yield made(out)
 
     return df.mapInArrow(run, kind)
 

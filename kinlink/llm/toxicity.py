@@ -26,7 +26,7 @@ from .common import LOWER, documents, map_texts
 #: Most labelled documents that the classifier is fitted on.
 MOST_LABELLED = 16_000
 SIZES = (3, 4, 5, 6, 7, 8)
-BITS = 22
+BITS = 21
 #: Least documents of the sample that a feature stands in.
 LEAST_DOCUMENTS = 3
 #: Features that the classifier keeps.
@@ -66,31 +66,37 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", most: int = M
     """weights: float32 of each feature (0: not kept); bias."""
     rows = training_rows(docs, labels, target, most)
 
+    classes = {bool(y): n for y, n in rows.groupBy(F.col("y") > 0).count().collect()}
+    n_neg, n_pos = classes.get(False, 0), classes.get(True, 0)
+    weights = np.zeros(1 << BITS, np.float32)
+    if not n_neg or not n_pos:
+        return {"weights": weights, "bias": np.float64(np.log((n_pos + 1) / (n_neg + 1)))}
+
     def make():
+        n = np.zeros((2, 1 << BITS), np.int32)
+
         def count(block: dict) -> Iterator[dict]:
-            y = [int(v > 0) for v in block["y"]]
-            parts = [presence(t).astype(np.int64) << 1 | v for t, v in zip(block["text"], y, strict=True)]
-            pairs, n = np.unique(np.concatenate(parts), return_counts=True)
-            total = np.array([[len(y) - sum(y), 0], [0, sum(y)]])
-            yield {"feature": np.append(pairs >> 1, [-1, -1]), "neg": np.append(np.where(pairs & 1, 0, n), total[:, 0]), "pos": np.append(np.where(pairs & 1, n, 0), total[:, 1])}
+            for text, y in zip(block["text"], block["y"], strict=True):
+                n[int(y > 0), presence(text)] += 1
+            return iter(())
 
+        def finish() -> Iterator[dict]:
+            at = np.flatnonzero(n.any(0))
+            for i in range(0, len(at), 200_000):
+                yield {"feature": (x := at[i : i + 200_000]), "neg": n[0, x], "pos": n[1, x]}
+
+        count.finish = finish
         return count
 
-    counts = map_texts(rows, make, "feature long, neg long, pos long").groupBy("feature").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).filter(F.col("neg") + F.col("pos") >= LEAST_DOCUMENTS).toPandas()  # a row per feature at most, of a fixed number of features
-    total = counts[counts.feature < 0]
-    n_neg, n_pos = int(total.neg.sum()), int(total.pos.sum())  # too few rows to count: as if there were none
-    weights = np.zeros(1 << BITS, np.float32)
-    if not n_neg or not n_pos:
-        return {"weights": weights, "bias": np.float64(np.log((n_pos + 1) / (n_neg + 1)))}
-    counts = counts[counts.feature >= 0].sort_values("feature")
-    neg, pos, feature = counts.neg.to_numpy(float), counts.pos.to_numpy(float), counts.feature.to_numpy()
-    ratio = np.log((pos + 1) / (n_pos + 2)) - np.log((neg + 1) / (n_neg + 2))
+    counts = map_texts(rows, make, "feature long, neg long, pos long").groupBy("feature").agg(F.sum("neg").cast("double").alias("neg"), F.sum("pos").cast("double").alias("pos"))
+    neg, pos, n = F.col("neg"), F.col("pos"), n_neg + n_pos
     # how well presence parts the classes: chi-square of the two-by-two table
-    n = n_pos + n_neg
-    seen = pos + neg
-    chi = n * (pos * (n_neg - neg) - neg * (n_pos - pos)) ** 2 / np.maximum(1.0, n_pos * n_neg * seen * (n - seen))
-    best = np.sort(np.lexsort((feature, -chi))[:KEPT])
-    feature, ratio = feature[best], ratio[best]
+    chi = n * F.pow(pos * (n_neg - neg) - neg * (n_pos - pos), 2) / F.greatest(F.lit(1.0), F.lit(float(n_pos * n_neg)) * (neg + pos) * (n - neg - pos))
+    best = counts.filter(neg + pos >= LEAST_DOCUMENTS).orderBy(chi.desc(), "feature").limit(KEPT).toPandas().sort_values("feature")
+    if not len(best):
+        return {"weights": weights, "bias": np.float64(np.log((n_pos + 1) / (n_neg + 1)))}
+    feature = best.feature.to_numpy()
+    ratio = np.log((best.pos.to_numpy() + 1) / (n_pos + 2)) - np.log((best.neg.to_numpy() + 1) / (n_neg + 2))
     slot = np.full(1 << BITS, -1, np.int32)
     slot[feature] = np.arange(len(feature))
 
