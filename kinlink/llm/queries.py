@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, secrets, toxicity
+from . import decontaminate, fingerprints, packing, secrets, toxicity
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 
+def op1_edit_embedding_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(table(spark, sf_dir, "documents"))
+
+
 def op2_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = decontaminate.build_index(table(spark, sf_dir, "documents"))
     found = decontaminate.search(index, table(spark, sf_dir, "benchmark"), window=10)
