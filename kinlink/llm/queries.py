@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, packing, secrets, toxicity
+from . import decontaminate, fingerprints, licenses, packing, secrets, toxicity
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -46,6 +46,25 @@ def op8_ngram_bayes_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op10_license_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    base = F.transform("places", lambda x: x["label"])
+    own = F.transform("found", lambda x: x["label"])
+    said = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    starts = F.transform("places", lambda x: x["start"].cast("long"))
+    best = F.coalesce(F.array_max(F.transform("found", lambda x: x["containment"])), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        said(base).alias("base_labels"),
+        said(F.concat(base, own)).alias("labels"),
+        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(best).alias("score"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
