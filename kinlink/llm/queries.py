@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, extraction, fingerprints, licenses, packing, ppm, secrets, toxicity
+from . import decontaminate, extraction, fingerprints, jaccard, licenses, packing, ppm, secrets, toxicity
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,6 +57,10 @@ def op8_ngram_bayes_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op9_token_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op10_license_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
     base = F.transform("places", lambda x: x["label"])
