@@ -178,6 +178,19 @@ def _search(index: DataFrame, windows: Windows) -> DataFrame:
     return map_texts(index, make, SPANS).withColumn("row", F.monotonically_increasing_id())
 
 
+def keep_uncontaminated(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
+    """The documents, all columns, without a hit. Of rows that share a doc_id all go if one is hit; rows without an id are
+    searched by themselves and joined by their text.
+    """
+    hit = F.size("spans") > 0
+    named = search(build_index(docs.filter("doc_id is not null")), items, window).filter(hit).select(F.col("doc_id").alias("_hit_id")).distinct()
+    kept = docs.filter("doc_id is not null").join(named, F.col("doc_id").cast("long") == F.col("_hit_id"), "left_anti")
+    lost = docs.filter("doc_id is null")
+    by_text = lost.select(F.xxhash64("text").alias("doc_id"), "text")
+    bad = search(build_index(by_text), items, window).filter(hit).select(F.col("doc_id").alias("_hit_id")).distinct()
+    return kept.unionByName(lost.join(bad, F.xxhash64("text") == F.col("_hit_id"), "left_anti")).select(*docs.columns)
+
+
 def proximity(index: DataFrame, phrases: dict[int, str], slop: int = 5) -> DataFrame:
     """Documents in which all words of a phrase stand within slop positions of its rarest word: doc_id, phrase_id, position.
 
