@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, extraction, fingerprints, jaccard, licenses, packing, ppm, secrets, toxicity
+from . import decontaminate, extraction, fingerprints, jaccard, licenses, packing, ppm, secrets, substrings, toxicity
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,6 +44,10 @@ def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op6_suffix_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
