@@ -8,8 +8,9 @@ m - s are unshared. From that follow two exact filters:
   is shared with no one; a node with more of them than it may leave unshared, n - ceil(t n), has no link. Most documents
   end here, after one aggregation that combines equal tokens before the shuffle.
 * The others, in combinations: the unshared tokens cut the shared ones into at most (n - s) + (m - s) + 1 runs, so some run
-  of k shared tokens is adjacent in both orders, with k the largest such number for all sizes that can link. Runs of k are
-  the index keys of the nodes left; nodes without a common run have no link.
+  of k shared tokens is adjacent in both orders, with k the largest such number for all sizes that can link. At least
+  s - (unshared + 1) (k - 1) runs of k are shared, so an extended prefix of each node's runs, in the order of their hashes,
+  holds a shared one. These runs are the index keys of the nodes left; nodes without a common key have no link.
 
 Nodes that a chain of keys connects are a family. Families are verified in blocks of bounded size: each pair of blocks of a
 family is a task group of its own, in which the intersections are counted exactly; only a spanning forest of its links is
@@ -34,7 +35,7 @@ from .common import WordHash, components, cut, documents, lower_words, map_texts
 
 #: Nodes in a block of a family.
 BLOCK = 96
-LONGEST_RUN = 8
+LONGEST_RUN = 6
 
 
 def unshared(n: int, percent: int) -> int:
@@ -57,6 +58,21 @@ def run_lengths(n: int, percent: int) -> tuple[int, ...]:
     return tuple(sorted({run_length(m, percent) for m in {low, n, high, *range(low, min(high, low + 200) + 1)}}))
 
 
+@lru_cache(100_000)
+def key_count(n: int, k: int, percent: int) -> int:
+    """How many of a set's runs of k must be keys, for one that it shares with any linked set to be among them."""
+    m = np.arange(-(-percent * n // 100), 100 * n // percent + 1)
+    s = -(-percent * (n + m) // (100 + percent))
+    common = int((s - (n + m - 2 * s + 1) * (k - 1)).min())
+    return n - k + 1 - max(common, 1) + 1
+
+
+def keys_of(s: np.ndarray, percent: int) -> np.ndarray:
+    """The keys of an ordered token set: the first runs, in the order of their hashes, of each length."""
+    parts = [np.sort(shingles(s, k) ^ np.uint64(k))[: key_count(len(s), k, percent)] for k in run_lengths(len(s), percent) if k <= len(s)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
 def token_set(words: list[bytes], hashed: WordHash, size: int) -> np.ndarray:
     """The distinct shingles of a text in the global order."""
     return np.unique(shingles(hashed.of(words), size))
@@ -108,11 +124,13 @@ def link(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
 
 
 def survivors(docs: DataFrame, left: DataFrame, size: int, percent: int) -> DataFrame:
-    """node, tokens (bytes of the ordered set), n, keys: of one document of each node that is left."""
+    """node, tokens (bytes of the ordered set), n, keys: of one document of each node that is left.
+
+    Rows that share a doc_id can bring a node twice or a node that is not left; links are verified, so these do no harm.
+    """
     named = left.filter("first_id is not null").select(F.col("first_id").alias("doc_id")).distinct()
     chosen = documents(docs).join(named, "doc_id", "left_semi")
     unnamed = documents(docs).filter("doc_id is null")  # rows without an id can't be found by it
-    known = left.select("node")
 
     def make():
         hashed = WordHash()
@@ -123,20 +141,15 @@ def survivors(docs: DataFrame, left: DataFrame, size: int, percent: int) -> Data
                 s = token_set(lower_words(text), hashed, size)
                 if not len(s):
                     continue
-                keys = []
-                for k in run_lengths(len(s), percent):
-                    if k <= len(s):
-                        keys.append(np.unique(shingles(s, k) ^ np.uint64(k)))
                 out["node"].append(int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)))
                 out["n"].append(len(s))
                 out["tokens"].append(s.tobytes())
-                out["keys"].append(np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64))
+                out["keys"].append(keys_of(s, percent).view(np.int64))
             yield out
 
         return sets
 
-    found = map_texts(chosen.unionByName(unnamed), make, "node long, n long, tokens binary, keys array<long>")
-    return found.join(known, "node", "left_semi").dropDuplicates(["node"])
+    return map_texts(chosen.unionByName(unnamed), make, "node long, n long, tokens binary, keys array<long>")
 
 
 def verify(sets: DataFrame, family: DataFrame, percent: int) -> DataFrame:
