@@ -122,7 +122,7 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[dict], Iterator[dict]]
         fn = make()
 
         def made(out: dict) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+            return pa.RecordBatch.from_arrays([v.cast(f.type) if isinstance(v := out[f.name], pa.Array) else pa.array(v, f.type) for f in arrow], schema=arrow)
 
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False) if "text" in batch.schema.names else np.zeros(batch.num_rows, int)

@@ -23,14 +23,16 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from .common import WordHash, documents, map_texts, mix, plain_words, stored
 
 LEAST, GRAM = 50, 16
-SHARD = 192
+SHARD = 16
 LAST = (1 << 63) - 1
 RUN = "anchor:long,ctx:long,start:int,n:int"
 
@@ -121,9 +123,15 @@ BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.cumprod(np.append(np.uint64(1), np.full(n, base, np.uint64)), dtype=np.uint64)
+    """The first n + 1 powers at least; kept, and made anew only for a longer text."""
+    held = _POWERS.get(int(base))
+    if held is None or len(held) <= n:
+        held = _POWERS[int(base)] = np.cumprod(np.append(np.uint64(1), np.full(max(n, 1 << 16), base, np.uint64)), dtype=np.uint64)
+    return held
 
 
 def span_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -137,18 +145,18 @@ def rolling(h: np.ndarray, k: int) -> np.ndarray:
     return span_hashes(h, start, start + k)
 
 
+#: Low bits that give way to the place in a text, so that of equal values the first is the least (2 ** 26 words a text).
+PLACE = np.uint64((1 << 26) - 1)
+
+
 def sliding_argmin(v: np.ndarray, w: int) -> np.ndarray:
-    """Place of the least value (the first of equal ones) in each window of w values."""
+    """Place of the least value (by its high bits; the first of equal ones) in each window of w values."""
     n = len(v) - w + 1
-    rank = np.argsort(np.argsort(v, kind="stable"), kind="stable")  # distinct, in the order of value and place
-    pad = -len(rank) % w
-    x = np.append(rank, np.full(pad, len(rank))).reshape(-1, w)
+    ranked = v & ~PLACE | np.arange(len(v), dtype=np.uint64)
+    x = np.append(ranked, np.full(-len(v) % w, np.iinfo(np.uint64).max, np.uint64)).reshape(-1, w)
     left = np.minimum.accumulate(x, 1).ravel()
     right = np.minimum.accumulate(x[:, ::-1], 1)[:, ::-1].ravel()
-    low = np.minimum(right[:n], left[w - 1 : w - 1 + n])
-    place = np.empty(len(rank), np.int64)
-    place[rank] = np.arange(len(rank))
-    return place[low]
+    return (np.minimum(right[:n], left[w - 1 : w - 1 + n]) & PLACE).astype(np.int64)
 
 
 def runs_of(docs: DataFrame) -> DataFrame:
@@ -158,35 +166,70 @@ def runs_of(docs: DataFrame) -> DataFrame:
         hashed = WordHash()
 
         def runs(block: dict) -> Iterator[dict]:
-            out: dict[str, list] = {k: [] for k in ("n_words", "sha", "runs")}
+            n_words, sha, parts = [], [], []
             for text in block["text"]:
                 words = plain_words(text)
-                out["n_words"].append(len(words))
-                out["sha"].append(hashlib.sha256(b" ".join(words)).hexdigest())
-                names = ("anchor", "ctx", "start", "n")
-                out["runs"].append([dict(zip(names, r, strict=True)) for r in zip(*(x.tolist() for x in contexts(hashed.of(words))), strict=True)] if len(words) >= LEAST else [])
-            yield out | {"row": block["row"], "doc_id": block["doc_id"]}
+                n_words.append(len(words))
+                sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
+                parts.append(contexts(hashed.of(words) if len(words) >= LEAST else np.zeros(0, np.uint64)))
+            ends = np.cumsum([0, *(len(p[0]) for p in parts)]).astype(np.int32)
+            columns = [pa.array(np.concatenate([p[i] for p in parts]), t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))]
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, ["anchor", "ctx", "start", "n"]))
+            yield {"row": block["row"], "doc_id": block["doc_id"], "n_words": n_words, "sha": sha, "runs": lists}
 
         return runs
 
     return map_texts(docs, make, f"row long, doc_id long, n_words long, sha string, runs array<struct<{RUN}>>")
 
 
-def shard_owners(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The contexts of one anchor: for each window of each, the smallest order with that window."""
-    pdf = pdf.sort_values(["o", "ctx"])
-    owners = pdf["o"].tolist()
-    words = [np.frombuffer(b, np.uint64).tolist() for b in pdf["words"]]
+def shard_owners(words: list[list[int]], owners: list[int]) -> list[list[int]]:
+    """The contexts of one anchor, in the order of their owners: for each window of each, the first owner of that window."""
     automaton = SuffixAutomaton()
     for w, o in zip(words, owners, strict=True):
         automaton.add(w, o)
-    least = []
+    out = []
     for w in words:
         low = [LAST] * (len(w) - LEAST + 1)
         for start, owner in automaton.statistics(w, LEAST):
             low[start] = owner
-        least.append(low)
-    return pd.DataFrame({"anchor": pdf["anchor"], "ctx": pdf["ctx"], "low": least})
+        out.append(low)
+    return out
+
+
+def all_owners(mixed: DataFrame) -> DataFrame:
+    """anchor, ctx, low of every context in shards: rows are dealt and ordered by anchor, and read shard by shard."""
+    kind = StructType.fromDDL("anchor long, ctx long, low array<long>")
+    arrow = to_arrow_schema(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        done: dict[str, list] = {"anchor": [], "ctx": [], "low": []}
+
+        def judge() -> None:
+            if held:
+                done["anchor"] += [r[0] for r in held]
+                done["ctx"] += [r[1] for r in held]
+                done["low"] += shard_owners([np.frombuffer(r[3], np.uint64).tolist() for r in held], [r[2] for r in held])
+                held.clear()
+
+        def out() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_pydict(done, schema=arrow)
+            for v in done.values():
+                v.clear()
+            return batch
+
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "ctx", "o", "words")), strict=True):
+                if held and held[0][0] != row[0]:
+                    judge()
+                held.append(row)
+            if len(done["ctx"]) > 20_000:
+                yield out()
+        judge()
+        yield out()
+
+    rows = mixed.select("anchor", "ctx", "o", "words").repartition("anchor").sortWithinPartitions("anchor", "o", "ctx")
+    return rows.mapInArrow(run, kind)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -229,7 +272,7 @@ def dedup(docs: DataFrame) -> DataFrame:
         return contents
 
     mixed = stored(map_texts(texts.filter(F.size("reps") > 0), make, "anchor long, ctx long, o long, ways long, words binary, windows array<long>"))
-    shards = mixed.filter(F.col("ways") <= SHARD).select("anchor", "ctx", "o", "words").groupBy("anchor").applyInPandas(shard_owners, "anchor long, ctx long, low array<long>")
+    shards = all_owners(mixed.filter(F.col("ways") <= SHARD))
     dealt = mixed.filter(F.col("ways") > SHARD).select("anchor", "ctx", "o", F.posexplode("windows").alias("i", "w"))
     first = dealt.groupBy("w").agg(F.min("o").alias("low"))
     others = dealt.join(first, "w").groupBy("anchor", "ctx").agg(F.array_sort(F.collect_list(F.struct("i", "low"))).alias("x")).select("anchor", "ctx", F.col("x.low").alias("low"))
