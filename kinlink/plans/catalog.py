@@ -13,6 +13,7 @@ from kinlink.operators import channels, evaluate, features, matching, profile, v
 from kinlink.plans import entities, linkage
 from kinlink.plans import oracle as O
 from kinlink.sources import tables
+from kinlink.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,18 +36,16 @@ _KEPT: dict[tuple, tuple] = {}
 
 
 def forget() -> None:
-    """Drop what queries keep for each other."""
-    for frames in _KEPT.values():
-        for f in frames:
-            f.unpersist()
+    """Forget the tables that queries have staged for each other."""
     _KEPT.clear()
 
 
 def _kept(spark: SparkSession, key: tuple, make: Callable[[], tuple]) -> tuple:
-    """Frames that a query uses several times are persisted, and stay for the next query on the same tables."""
+    """Frames that a query uses several times are staged, which also keeps plans short; the next query on the same tables
+    reads them again."""
     key = (spark.sparkContext.applicationId, *key)
     if key not in _KEPT:
-        _KEPT[key] = tuple(f.persist() for f in make())
+        _KEPT[key] = tuple(stage(f) for f in make())
     return _KEPT[key]
 
 
@@ -192,7 +191,8 @@ _channel("ch_combined_tfidf", "combined_tfidf", C.CONFIG_B, lambda a, b: channel
 @query("candidates_union", O.query(O.fired(CFG), "SELECT s1_id, cand_id, count(*) AS n_rules, count(DISTINCT rule) AS n_kinds FROM fired GROUP BY ALL"))
 def candidates_union(spark, d):
     s1, pool, _ = _records(spark, d)
-    return channels.firings(s1, pool, CFG).groupBy("s1_id", "cand_id").agg(F.count("*").alias("n_rules"), F.countDistinct("rule").alias("n_kinds"))
+    (fired,) = _kept(spark, (d, CFG, "fired"), lambda: (channels.firings(s1, pool, CFG),))
+    return fired.groupBy("s1_id", "cand_id").agg(F.count("*").alias("n_rules"), F.countDistinct("rule").alias("n_kinds"))
 
 
 def _candidates(name: str, cfg: C.BlockingConfig) -> None:
@@ -210,11 +210,9 @@ for _name, _cfg in (("candidates_capped", CFG), ("candidates_default", C.DEFAULT
 def _blocked(spark: SparkSession, d: str, cfg: C.BlockingConfig = CFG):
     s1, pool, truth = _records(spark, d)
 
-    def make() -> tuple:
-        b = linkage.block(s1, pool, cfg)
-        return b.fired, b.pairs
-
-    b = linkage.Blocking(*_kept(spark, (d, cfg), make))
+    (fired,) = _kept(spark, (d, cfg, "fired"), lambda: (channels.firings(s1, pool, cfg),))
+    (pairs,) = _kept(spark, (d, cfg, "pairs"), lambda: (channels.candidates(fired, cfg.total_cap),))
+    b = linkage.Blocking(channels.kept_firings(fired, pairs), pairs)
     b.entities = evaluate.per_entity(s1, truth, b.pairs)
     return s1, pool, truth, b
 
@@ -348,8 +346,8 @@ def pair_features(spark, d):
 _SCORE = "round(0.5 * name_3gram_jaccard + 0.3 * name_jaccard + 0.1 * greatest(postal_match, 0.0) + 0.1 * greatest(house_match, 0.0), 6)"
 _SCORED = O.candidates(CFG) + f",\nfeatured AS ({_featured(['name_jaccard', 'name_3gram_jaccard', 'postal_match', 'house_match'])}),\nscored AS (SELECT s1_id, cand_id, cand_pos, {_SCORE} AS p FROM featured)"
 _SCORES = """,
-each_s1 AS (SELECT tau, s.entity_id AS s1_id, coalesce(t.n, 0) AS n_true, coalesce(c.n, 0) AS n_pred, coalesce(c.hit, 0) AS n_hit FROM taus CROSS JOIN s1 s LEFT JOIN (SELECT s1_id, count(*) AS n FROM truth GROUP BY 1) t ON s.entity_id = t.s1_id
- LEFT JOIN (SELECT tau, p.s1_id, count(*) AS n, count(t.cand_id) AS hit FROM scored p JOIN taus ON p.p >= tau LEFT JOIN truth t ON p.s1_id = t.s1_id AND p.cand_id = t.cand_id GROUP BY ALL) c USING (tau, s1_id)),
+each_s1 AS (SELECT taus.tau, s.entity_id AS s1_id, coalesce(t.n, 0) AS n_true, coalesce(c.n, 0) AS n_pred, coalesce(c.hit, 0) AS n_hit FROM taus CROSS JOIN s1 s LEFT JOIN (SELECT s1_id, count(*) AS n FROM truth GROUP BY 1) t ON s.entity_id = t.s1_id
+ LEFT JOIN (SELECT tau, p.s1_id, count(*) AS n, count(t.cand_id) AS hit FROM scored p JOIN taus ON p.p >= tau LEFT JOIN truth t ON p.s1_id = t.s1_id AND p.cand_id = t.cand_id GROUP BY ALL) c ON c.tau = taus.tau AND c.s1_id = s.entity_id),
 pr AS (SELECT *, CASE WHEN n_pred = 0 THEN 1.0 ELSE n_hit / n_pred END AS pre, CASE WHEN n_true = 0 THEN 1.0 ELSE n_hit / n_true END AS rec FROM each_s1),
 f AS (SELECT *, CASE WHEN n_true = 0 AND n_pred = 0 THEN 1.0 WHEN n_true = 0 OR n_pred = 0 OR n_hit = 0 THEN 0.0 ELSE 1.25 * pre * rec / (0.25 * pre + rec) END AS f05 FROM pr)"""
 _MACRO = "round(avg(pre), 6) AS macro_precision, round(avg(rec), 6) AS macro_recall, round(avg(f05), 6) AS macro_f05, round(CASE WHEN sum(n_pred) > 0 THEN sum(n_hit) / sum(n_pred) ELSE 1.0 END, 6) AS micro_precision, round(CASE WHEN sum(n_true) > 0 THEN sum(n_hit) / sum(n_true) ELSE 1.0 END, 6) AS micro_recall, round(count(*) FILTER (n_true = 0 AND n_pred = 0) / count(*) FILTER (n_true = 0), 6) AS singleton_accuracy"
