@@ -135,26 +135,26 @@ def hardest_pairs(spark, d):
 # ---- normalization
 
 
-def _normal(name: str, spark_columns: list, sql_columns: str) -> None:
+def _normal(name: str, columns: Callable[[], list], sql_columns: str) -> None:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return _records(spark, d)[1].select("entity_id", *spark_columns)
+        return _records(spark, d)[1].select("entity_id", *columns())
 
     QUERIES[name] = run
     ORACLES[name] = O.query(O.RECORDS, f"SELECT entity_id, {sql_columns} FROM pool")
 
 
 _joined = lambda c: F.array_join(c, "|").alias(c)
-_normal("clean_text", ["name_normalized"], "name_normalized")
-_normal("normalize_name", ["name_normalized", "name_core", "name_legal_suffix", _joined("name_tokens")], "name_normalized, name_core, name_legal_suffix, array_to_string(name_tokens, '|') AS name_tokens")
-_normal("legal_suffix", ["name_core", "name_legal_suffix"], "name_core, name_legal_suffix")
-_normal("expand_address", ["address_normalized", _joined("address_tokens"), "address_is_empty"], "address_normalized, array_to_string(address_tokens, '|') AS address_tokens, address_is_empty")
-_normal("postal_code", ["address_postal_code"], "address_postal_code")
-_normal("house_number", ["address_house_number"], "address_house_number")
-_normal("numeric_tokens", [_joined("address_numeric_tokens")], "array_to_string(address_numeric_tokens, '|') AS address_numeric_tokens")
-_normal("normalize_country", ["country", "country_normalized"], "country, country_normalized")
-_normal("token_signature", [T.signature(T.tokens(F.col("name_core"))).alias("signature")], f"{O.signature(O.words('name_core'))} AS signature")
+_normal("clean_text", lambda: ["name_normalized"], "name_normalized")
+_normal("normalize_name", lambda: ["name_normalized", "name_core", "name_legal_suffix", _joined("name_tokens")], "name_normalized, name_core, name_legal_suffix, array_to_string(name_tokens, '|') AS name_tokens")
+_normal("legal_suffix", lambda: ["name_core", "name_legal_suffix"], "name_core, name_legal_suffix")
+_normal("expand_address", lambda: ["address_normalized", _joined("address_tokens"), "address_is_empty"], "address_normalized, array_to_string(address_tokens, '|') AS address_tokens, address_is_empty")
+_normal("postal_code", lambda: ["address_postal_code"], "address_postal_code")
+_normal("house_number", lambda: ["address_house_number"], "address_house_number")
+_normal("numeric_tokens", lambda: [_joined("address_numeric_tokens")], "array_to_string(address_numeric_tokens, '|') AS address_numeric_tokens")
+_normal("normalize_country", lambda: ["country", "country_normalized"], "country, country_normalized")
+_normal("token_signature", lambda: [T.signature(T.tokens(F.col("name_core"))).alias("signature")], f"{O.signature(O.words('name_core'))} AS signature")
 _padded = "concat(' ', name_core, ' ')"
-_normal("char_ngrams", [F.array_join(T.char_ngrams(F.col("name_core")), "|").alias("grams")], f"array_to_string(list_concat({O.grams(_padded, 2)}, {O.grams(_padded, 3)}, {O.grams(_padded, 4)}), '|') AS grams")
+_normal("char_ngrams", lambda: [F.array_join(T.char_ngrams(F.col("name_core")), "|").alias("grams")], f"array_to_string(list_concat({O.grams(_padded, 2)}, {O.grams(_padded, 3)}, {O.grams(_padded, 4)}), '|') AS grams")
 
 
 @query("normalized_documents")
