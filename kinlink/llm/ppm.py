@@ -69,9 +69,9 @@ def count_grams(docs: DataFrame) -> DataFrame:
 
         def count(block: dict) -> Iterator[dict]:
             held.append(np.unique(grams(block["text"]), return_counts=True))
-            if sum(len(k) for k, _ in held) > 4_000_000:
+            if sum(len(k) for k, _ in held) > 2_000_000:
                 held[:] = [merged()]
-                if len(held[0][0]) > 2_000_000:
+                if len(held[0][0]) > 1_000_000:
                     yield from out()
 
         count.finish = out
