@@ -343,7 +343,7 @@ def pair_features(spark, d):
 
 # ---- labels, scores, matches
 
-_SCORE = "round(0.5 * name_3gram_jaccard + 0.3 * name_jaccard + 0.1 * greatest(postal_match, 0.0) + 0.1 * greatest(house_match, 0.0), 6)"
+_SCORE = "round(0.5 * name_3gram_jaccard + 0.3 * name_jaccard + 0.1 * greatest(postal_match, 0.0) + 0.1 * greatest(house_match, 0.0), 9)"
 _SCORED = O.candidates(CFG) + f",\nfeatured AS ({_featured(['name_jaccard', 'name_3gram_jaccard', 'postal_match', 'house_match'])}),\nscored AS (SELECT s1_id, cand_id, cand_pos, {_SCORE} AS p FROM featured)"
 _SCORES = """,
 each_s1 AS (SELECT taus.tau, s.entity_id AS s1_id, coalesce(t.n, 0) AS n_true, coalesce(c.n, 0) AS n_pred, coalesce(c.hit, 0) AS n_hit FROM taus CROSS JOIN s1 s LEFT JOIN (SELECT s1_id, count(*) AS n FROM truth GROUP BY 1) t ON s.entity_id = t.s1_id
