@@ -8,13 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, extraction, fingerprints, jaccard, licenses, packing, ppm, secrets, substrings, toxicity
+from . import decontaminate, extraction, fingerprints, jaccard, licenses, oracle, packing, ppm, secrets, substrings, toxicity
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
-
 def op1_edit_embedding_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited(table(spark, sf_dir, "documents"))
 
@@ -95,4 +94,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracles()
