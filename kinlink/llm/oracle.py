@@ -113,14 +113,13 @@ SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id FROM
 def license_labels() -> str:
     shapes = {label: licenses._plain(t) for t, label in licenses.TEMPLATES.items()}
     wanted = ", ".join(f"({quoted(label)}, {quoted(word)})" for label, words in shapes.items() for word in words)
-    phrases = ", ".join(f"({quoted(p)}, {quoted(label)}, {len(p.split())})" for p, label in licenses.PHRASES.items())
+    phrases = ", ".join(f"({quoted(p)}, {quoted(label)}, {quoted(p.split()[0])}, {len(p.split())})" for p, label in licenses.PHRASES.items())
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {lowered('text')} AS text FROM documents),
 own AS (SELECT rid, doc_id, regexp_extract_all(text, '{ALNUM}') AS w FROM d),
-phrases(phrase, label, k) AS (VALUES {phrases}),
-places AS (
-  SELECT rid, label, p - 1 AS start FROM (SELECT rid, w, label, phrase, k, unnest(range(1, len(w) - k + 2)) AS p FROM own, phrases WHERE len(w) >= k)
-  WHERE array_to_string(w[p:p + k - 1], ' ') = phrase),
+phrases(phrase, label, word, k) AS (VALUES {phrases}),
+words AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM own),
+places AS (SELECT rid, label, p - 1 AS start FROM words JOIN phrases USING (word) JOIN own USING (rid) WHERE array_to_string(w[p:p + k - 1], ' ') = phrase),
 wanted(label, word) AS (VALUES {wanted}),
 sizes AS (SELECT label, count(*) AS size FROM wanted GROUP BY label),
 lines AS (SELECT rid, unnest(parts) AS line, generate_subscripts(parts, 1) AS nth FROM (SELECT rid, string_split(text, chr(10)) AS parts FROM d)),
