@@ -150,18 +150,32 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternates large-star and small-star steps; all keys are nodes, a hot node's rows are combined before the shuffle,
     and each round is checkpointed. Nodes that have no edge are not returned.
     """
-    e = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
-    before = None
+    e, before = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()), None
+    n = e.count()
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.explode(F.array("v", "u")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        e = cut(small)
+        large = with_least(both, 2 * n).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        e = cut(with_least(large, n).select(F.explode(F.array("v", "u")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
-        before = now
+        before, n = now, now[0]
     tops = e.select(F.col("v").alias("node")).distinct()
     return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(tops.join(e.select(F.col("u").alias("node")), "node", "left_anti").withColumn("component", F.col("node")))
+
+
+#: A key with more than one in so many of all rows is hot, so there are fewer hot keys than this.
+HOT_SHARE = 1024
+
+
+def with_least(e: DataFrame, most: int) -> DataFrame:
+    """u, v and m, the least v of u's rows; e has at most so many rows.
+
+    Hot u get their m by a broadcast, of fewer than HOT_SHARE rows whatever the size of e, and their rows are dealt by v.
+    The other u have at most most / HOT_SHARE rows each and are dealt by themselves.
+    """
+    low = e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("rows"))
+    hot = low.filter(F.col("rows") * HOT_SHARE > most).select("u", F.col("m").alias("hot_m"))
+    dealt = e.join(F.broadcast(hot), "u", "left").withColumn("is_hot", F.col("hot_m").isNotNull()).withColumn("by", F.when(F.col("is_hot"), F.xxhash64("v")).otherwise(F.col("u")))
+    others = low.select(F.col("u").alias("by"), F.lit(False).alias("is_hot"), "m")
+    return dealt.join(others, ["by", "is_hot"], "left").select("u", "v", F.coalesce("hot_m", "m").alias("m"))

@@ -88,3 +88,12 @@ def test_keep_one(spark):
 
 def test_empty(spark):
     assert jaccard.link(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_components_of_hot_nodes_and_chains(spark):
+    from kinlink.llm.common import components
+
+    edges = [(0, i) for i in range(1, 3000)] + [(9999, i) for i in range(7000, 8000)] + [(20000 + i, 20001 + i) for i in range(20)] + [(5, 5)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = dict.fromkeys(range(3000), 0) | dict.fromkeys([*range(7000, 8000), 9999], 7000) | dict.fromkeys(range(20000, 20021), 20000)
+    assert got == want
