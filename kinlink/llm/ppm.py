@@ -4,12 +4,12 @@ Pretrained: the counts of all byte n-grams up to ORDER + 1 over all training tex
 in the longest known context; if it has not followed there, an escape is coded (its share estimated from the number of
 distinct followers, method C) and the next shorter context is tried without the bytes that the longer one has already
 ruled out (exclusion). The followers of a context also follow its suffix, so what exclusion takes from a context depends on
-the context escaped from alone, and every step is a constant of a trie node: scoring is a few table look-ups a byte.
+the context escaped from alone, and every step is a constant of a trie node: a byte's cost follows from its n-gram alone.
 Adaptive: ``Adaptive`` codes one text with a trie that starts empty and learns as it goes.
 
-The counts cover every training text and grow with them. The trie sent to the tasks keeps the n-grams whose count reaches
-the least threshold at which at most NODES are left; what is cut off goes to the context's escape. So the model has a fixed
-greatest size, and any suffix and prefix of a kept n-gram is kept.
+The counts cover every training text and grow with them, and every score comes from all of them. A table of the costs of
+the longest n-grams whose count reaches the least threshold at which at most NODES are left is sent to the tasks; a text's
+other n-grams are joined with the stored counts, and where these lack them too, with those of their suffixes and contexts.
 
 Edge cases: a null text is empty (its end alone is coded); an empty training set leaves the uniform model; repeated rows
 count and are scored each; an empty table gives no rows.
@@ -31,8 +31,10 @@ from .common import documents, lower_words, map_texts, stored
 ORDER = 5
 #: Bytes that UTF-8 never has: before a text, after it.
 START, END = 0xFE, 0xFF
-#: Most n-grams of a trie that is sent to the tasks.
+#: Most n-grams whose costs are sent to the tasks; the others are joined with their counts.
 NODES = 1 << 20
+#: Of an n-gram `gram` of `size` bytes: the byte before the last, and all but the first.
+BEFORE, SUFFIX = "(shiftright(gram, 8) & 255)", "(gram & (shiftleft(1L, 8 * (size - 1)) - 1))"
 #: Words whose counts are sent to the tasks; the counts of the others are joined.
 COMMON_WORDS = 1 << 18
 
@@ -100,58 +102,50 @@ def most_frequent(counted: DataFrame, column: str, most: int) -> DataFrame:
     return counted.filter(step >= least) if least is not None else counted.filter(F.lit(False))
 
 
-def train(docs: DataFrame, nodes: int = NODES) -> Trie:
-    """The trie of all whole texts, cut to its greatest size."""
-    rows = most_frequent(stored(all_orders(count_grams(docs))), "n", nodes).toArrow()  # at most `nodes` rows
-    return Trie(rows["size"].to_numpy(), rows["gram"].to_numpy(), rows["n"].to_numpy())
-
-
-class Trie:
-    """Look-up tables of kept n-grams: as followers (log count) and as contexts (logs of escape and of denominators)."""
-
-    def __init__(self, size: np.ndarray, gram: np.ndarray, n: np.ndarray):
-        key = gram.astype(np.uint64) | size.astype(np.uint64) << np.uint64(56)
-        order = np.argsort(key)
-        key, size, n = key[order], size[order].astype(np.int64), n[order].astype(np.float64)
-        gram = gram[order].astype(np.uint64)
-        count = len(key)
-        # followers of each context: of the n-gram without its last byte
-        parent = self._find(key, (gram >> np.uint64(8)) | (size - 1).astype(np.uint64) << np.uint64(56))
-        parent[size == 1] = count  # the empty context is the last row
-        got = parent >= 0
-        total, followers = np.zeros(count + 1), np.zeros(count + 1)
-        np.add.at(total, parent[got], n[got])
-        np.add.at(followers, parent[got], 1)
-        full = np.append(n, n[size == 1].sum())
-        escape = np.maximum(followers, 1) + np.maximum(0, full - total)
-        # the suffix's followers that a context rules out, by their counts in the suffix
-        shorter = self._find(key, self._suffix(gram, size))
-        shorter[size == 1] = count
-        same = self._find(key, self._suffix(gram, size))  # the follower itself under the suffix of its context
-        gone = np.zeros(count + 1)
-        ok = got & (size > 1) & (same >= 0)
-        np.add.at(gone, parent[ok], n[same[ok]])
-        below = np.append(shorter, -1)
-        rest = np.where(below >= 0, np.maximum(total[below] - gone, 0) + escape[below], 1.0)
-        log = lambda v: np.log10(np.maximum(v, 1e-300)).astype(np.float32)
-        self.empty = (float(log(escape[-1:])[0]), float(log(total[-1:] + escape[-1:])[0]))
-        has = followers[:count] > 0
-        # after padding alone a byte is coded without context
-        self._table(key, np.where(got, log(n), np.nan).astype(np.float32), np.where(has, log(escape[:count]), np.nan).astype(np.float32), log(total[:count] + escape[:count]), log(rest[:count]))
-
-    @staticmethod
-    def _suffix(gram: np.ndarray, size: np.ndarray) -> np.ndarray:
-        low = (size - 1).astype(np.uint64)
-        return (gram & ((np.uint64(1) << (low * np.uint64(8))) - np.uint64(1))) | low << np.uint64(56)
-
-    @staticmethod
-    def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        if not len(keys):
-            return np.full(len(wanted), -1)
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return np.where(keys[at] == wanted, at, -1)
-
-    def _table(self, key: np.ndarray, *columns: np.ndarray) -> None:
+def train(docs: DataFrame, nodes: int = NODES) -> Model:
+    """The model of all whole texts, of which so many n-grams at most travel."""
+    return Model(stored(all_orders(count_grams(docs))), nodes)
+
+
+def contexts(levels: DataFrame) -> DataFrame:
+    """size, gram, total, followers, rest of every context.
+
+    total and followers count what follows it; its escape is the number of its followers. rest is the denominator in the next
+    shorter context without these followers. A context is joined with at most 256 followers, so no key is hot.
+    """
+    shorter = levels.select((F.col("size") + 1).alias("size"), F.col("gram").alias("suffix"), F.col("n").alias("m"))
+    known = levels.filter(f"size = 1 or {BEFORE} <> {START}").withColumn("suffix", F.expr(SUFFIX))  # after padding alone a byte is coded without context
+    each = known.join(shorter, ["size", "suffix"], "left").groupBy((F.col("size") - 1).alias("size"), F.expr("shiftright(gram, 8)").alias("gram"))
+    stats = stored(each.agg(F.sum("n").alias("total"), F.count("*").alias("followers"), F.sum("m").alias("gone")))
+    below = stats.select((F.col("size") + 1).alias("size"), F.col("gram").alias("suffix"), (F.col("total") + F.col("followers")).alias("whole"))
+    found = stats.withColumn("suffix", F.when(F.col("size") > 0, F.expr(SUFFIX))).join(below, ["size", "suffix"], "left")
+    return found.select("size", "gram", "total", "followers", (F.col("whole") - F.col("gone")).alias("rest"))
+
+
+class Model:
+    """Costs (log10 probability of the last byte) of (ORDER + 1)-grams: a table of those of the most frequent ones, which is
+    sent to the tasks, and all stored counts, which the others are joined with."""
+
+    def __init__(self, levels: DataFrame, nodes: int):
+        self.levels, self.contexts = levels, stored(contexts(levels))
+        n = np.zeros(256)
+        for r in levels.filter("size = 1").collect():  # 256 rows at most
+            n[r["gram"]] = r["n"]
+        self.escape = float(max(1, (n > 0).sum()))
+        self.whole = float(n.sum()) + self.escape
+        #: costs without context
+        self.plain = np.log10(np.where(n > 0, n, self.escape / 256)) - math.log10(self.whole)
+        follows = levels.filter(f"size = {ORDER + 1} and {BEFORE} <> {START}").select("gram", "n", F.expr("shiftright(gram, 8)").alias("context"))
+        whole = self.contexts.filter(F.col("size") == ORDER).select(F.col("gram").alias("context"), (F.col("total") + F.col("followers")).alias("whole"))
+        self.known = stored(follows.join(whole, "context").select("gram", "n", (F.log10("n") - F.log10("whole")).alias("cost")))
+        top = most_frequent(self.known, "n", nodes).select("gram", "cost").toArrow()  # at most `nodes` rows
+        self._table(top["gram"].to_numpy().astype(np.uint64), top["cost"].to_numpy())
+
+    def __getstate__(self) -> dict:
+        """What is sent to the tasks."""
+        return {k: v for k, v in self.__dict__.items() if not isinstance(v, DataFrame)}
+
+    def _table(self, key: np.ndarray, cost: np.ndarray) -> None:
         """Open addressing with linear probing, at most half full."""
         self.bits = max(8, (2 * len(key)).bit_length())
         slots = np.zeros(1 << self.bits, np.uint64)
@@ -166,10 +160,8 @@ class Trie:
             slots[at[take]] = key[left[take]]
             place[left[take]] = at[take]
             at, left = (at[~take] + 1) & mask, left[~take]
-        self.slots = slots
-        self.count, self.escape, self.whole, self.rest = (np.zeros(1 << self.bits, np.float32) for _ in range(4))
-        for table, column in zip((self.count, self.escape, self.whole, self.rest), columns, strict=True):
-            table[place] = column
+        self.slots, self.cost = slots, np.zeros(1 << self.bits)
+        self.cost[place] = cost
 
     def _hash(self, key: np.ndarray) -> np.ndarray:
         return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -189,59 +181,69 @@ class Trie:
             left = left[~hit & (seen != 0)]
         return out
 
-    def costs(self, gram: np.ndarray) -> np.ndarray:
-        """log10 probability of the last byte of each (ORDER + 1)-gram after the others."""
-        out = np.zeros(len(gram))
-        # logs of the denominator, if the context is the first or was reached by an escape
-        divide = np.full(len(gram), np.nan)
-        left = np.arange(len(gram))
-        low = [(np.uint64((1 << 8 * s) - 1), np.uint64(s) << np.uint64(56)) for s in range(ORDER + 2)]
-        for size in range(ORDER, 0, -1):
-            g = gram[left]
-            slot = self.look(g & low[size + 1][0] | low[size + 1][1])
-            hit = slot >= 0
-            hit[hit] = ~np.isnan(self.count[slot[hit]])
-            at = left[hit]
-            first = at[np.isnan(divide[at])]
-            if len(first):
-                context = self.look(gram[first] >> np.uint64(8) & low[size][0] | low[size][1])
-                divide[first] = self.whole[context]
-            out[at] += self.count[slot[hit]] - divide[at]
-            left = left[~hit]
-            if not len(left):
-                return out
-            context = self.look(gram[left] >> np.uint64(8) & low[size][0] | low[size][1])
-            known = context >= 0
-            known[known] = ~np.isnan(self.escape[context[known]])
-            at, c = left[known], context[known]
-            fresh = np.isnan(divide[at])
-            out[at] += self.escape[c] - np.where(fresh, self.whole[c], divide[at])
-            divide[at] = self.rest[c]
-        slot = self.look(gram[left] & low[1][0] | low[1][1])
-        d = np.where(np.isnan(divide[left]), self.empty[1], divide[left])
-        out[left] += np.where(slot >= 0, self.count[slot], self.empty[0] - math.log10(256)) - d
-        return out
-
-
-def text_scores(trie: Trie, texts: list[str]) -> np.ndarray:
-    """log10 probability of each whole text and its end."""
-    costs = trie.costs(grams(texts))
-    return np.add.reduceat(costs, np.cumsum([0, *(len(t.encode()) + 1 for t in texts[:-1])]))
-
-
-def score(docs: DataFrame, model: Trie) -> DataFrame:
+    def text_costs(self, texts: list[str]) -> dict[str, list]:
+        """score of each whole text and its end, without its grams that are not in the table; these, and how often each stands there."""
+        gram = grams(texts)
+        slot = self.look(gram)
+        costs = self.cost[slot]
+        costs[slot < 0] = 0
+        bare = np.flatnonzero(gram >> np.uint64(8) & np.uint64(255) == START)
+        costs[bare] = self.plain[(gram[bare] & np.uint64(255)).astype(np.int64)]
+        slot[bare] = 0
+        starts = np.cumsum([0, *(len(t.encode()) + 1 for t in texts)])
+        far = np.flatnonzero(slot < 0)
+        cuts = np.searchsorted(far, starts)
+        own = [np.unique(gram[far[i:j]].astype(np.int64), return_counts=True) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        return {"score": np.add.reduceat(costs, starts[:-1]), "grams": [g for g, _ in own], "times": [k for _, k in own]}
+
+    def missing(self, parts: DataFrame) -> DataFrame:
+        """row, far: the sum of the costs of the grams of each row of parts that are not in the table."""
+        asked = stored(parts.select("row", F.explode(F.arrays_zip("grams", "times")).alias("x")).select("row", "x.grams", "x.times").withColumnRenamed("grams", "gram"))
+        found = stored(asked.select("gram").distinct().join(self.known.select("gram", "cost"), "gram", "left"))
+        costs = found.filter("cost is not null").unionByName(self.unseen(found.filter("cost is null").select("gram")))
+        return asked.join(costs, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("cost")).alias("far"))
+
+    def unseen(self, new: DataFrame) -> DataFrame:
+        """gram, cost of grams that no training text has, by escapes to shorter contexts.
+
+        Each asks for the counts of its suffixes (follower) and for their contexts. n-grams of up to two bytes are a fixed
+        number and travel; the others are joined.
+        """
+        key = lambda size, of: F.struct(F.lit(of == "gram").alias("follower"), F.lit(size).alias("size"), F.expr(f"{of} & {(1 << 8 * size) - 1}L").alias("part"))
+        wanted = new.select("gram", F.explode(F.array(*(key(s, of) for s in range(1, ORDER + 1) for of in ("gram", "shiftright(gram, 8)")))).alias("x")).select("gram", "x.*")
+        have = self.levels.select(F.lit(True).alias("follower"), "size", F.col("gram").alias("part"), "n", *(F.lit(None).cast("double").alias(c) for c in ("step", "whole")))
+        step = F.log10("followers") - F.log10("rest")
+        have = have.unionByName(self.contexts.filter("size > 0").select(F.lit(False).alias("follower"), "size", F.col("gram").alias("part"), F.lit(None).cast("long").alias("n"), step.alias("step"), F.log10(F.col("total") + F.col("followers")).alias("whole")))
+        on = ["follower", "size", "part"]
+        near = wanted.filter("size <= 2").join(F.broadcast(have.filter("size <= 2")), on, "left")
+        each = near.unionByName(wanted.filter("size > 2").join(have.filter("size > 2"), on, "left")).groupBy("gram")
+        # the longest suffix that is known ends the escapes, which began in the longest known context
+        found = each.agg(
+            F.coalesce(F.max(F.when(F.col("n").isNotNull(), F.col("size") - 1)), F.lit(-1)).alias("hit"),
+            F.max_by("n", F.when(F.col("n").isNotNull(), F.col("size"))).alias("n"),
+            F.max_by("whole", F.when(F.col("whole").isNotNull(), F.col("size"))).alias("whole"),
+            F.array_sort(F.collect_list(F.when(F.col("step").isNotNull(), F.struct("size", "step")))).alias("steps"),
+        )
+        escapes = F.aggregate("steps", F.lit(0.0), lambda sum_, x: sum_ + F.when(x["size"] > F.col("hit"), x["step"]).otherwise(0.0))
+        last = F.coalesce(F.log10("n"), F.lit(math.log10(self.escape / 256)))
+        return found.select("gram", (escapes + last - F.coalesce("whole", F.lit(math.log10(self.whole)))).alias("cost"))
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score (log10 probability of the whole text and its end)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # NODES n-grams at most
 
     def make():
-        trie = shared.value
+        held = shared.value
 
         def scored(block: dict) -> Iterator[dict]:
-            yield {"doc_id": block["doc_id"], "score": text_scores(trie, block["text"])}
+            yield held.text_costs(block["text"]) | {"row": block["row"], "doc_id": block["doc_id"]}
 
         return scored
 
-    return map_texts(documents(docs), make, "doc_id long, score double", chars=1_000_000)
+    numbered = documents(docs).withColumn("row", F.monotonically_increasing_id())
+    parts = stored(map_texts(numbered, make, "row long, doc_id long, score double, grams array<long>, times array<long>", chars=1_000_000))
+    return parts.join(model.missing(parts), "row", "left").select("doc_id", (F.col("score") + F.coalesce("far", F.lit(0.0))).alias("score"))
 
 
 class Adaptive:
@@ -324,11 +326,11 @@ def word_counts(docs: DataFrame, training: Column) -> DataFrame:
     return map_texts(documents(docs.filter(training)), make, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def score_with_base(docs: DataFrame, training: Column, model: Trie, common: int = COMMON_WORDS) -> DataFrame:
+def score_with_base(docs: DataFrame, training: Column, model: Model, common: int = COMMON_WORDS) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score (unigrams with add-one smoothing) and score of every document.
 
     The counts of the commonest words, a fixed number, go to the tasks; a document's other words are joined with their
-    counts, added up by document row and word before, so that no word or document can crowd a task.
+    counts, added up by document row and word before, so that no word or document can crowd a task. Likewise n-grams.
     """
     counts = stored(word_counts(docs, training))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -337,13 +339,13 @@ def score_with_base(docs: DataFrame, training: Column, model: Trie, common: int
     bottom = math.log10(total + distinct + 1)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((top["word"].to_pylist(), top["c"].to_numpy()))
-    trie = spark.sparkContext.broadcast(model)
+    held = spark.sparkContext.broadcast(model)
 
     def make():
         words, c = shared.value
         logs = np.append(np.log10(c + 1.0) - bottom, 0.0)
         get = {w: i for i, w in enumerate(words)}.get
-        ppm, end = trie.value, math.log10(ends + 1) - bottom
+        ppm, end = held.value, math.log10(ends + 1) - bottom
 
         def parts(block: dict) -> Iterator[dict]:
             out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base", "rare")}
@@ -354,20 +356,20 @@ def score_with_base(docs: DataFrame, training: Column, model: Trie, common: int
                 out["n_known"].append(int((place >= 0).sum()) + (ends > 0))
                 out["base"].append(float(logs[place].sum()) + end)
                 out["rare"].append([own[i] for i in np.flatnonzero(place < 0).tolist()])
-            yield out | {"row": block["row"], "doc_id": block["doc_id"], "score": text_scores(ppm, block["text"])}
+            yield out | ppm.text_costs(block["text"]) | {"row": block["row"], "doc_id": block["doc_id"]}
 
         return parts
 
     numbered = documents(docs).withColumn("row", F.monotonically_increasing_id())
-    parts = stored(map_texts(numbered, make, "row long, doc_id long, n_tokens long, n_known long, base double, score double, rare array<binary>", chars=1_000_000))
+    parts = stored(map_texts(numbered, make, "row long, doc_id long, n_tokens long, n_known long, base double, score double, rare array<binary>, grams array<long>, times array<long>", chars=1_000_000))
     rare = parts.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("k"))
     found = rare.join(counts, "word", "left").select("row", "k", F.coalesce("c", F.lit(0)).alias("c"))
     extra = found.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("more"), F.sum(F.col("k") * (F.log10(F.col("c") + 1.0) - bottom)).alias("add"))
-    return parts.drop("rare").join(extra, "row", "left").select(
+    return parts.drop("rare", "grams", "times").join(extra, "row", "left").join(model.missing(parts), "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("add", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("far", F.lit(0.0))).alias("score"),
     )

@@ -40,6 +40,23 @@ def test_trie_against_plain_coder(spark):
     assert all(-1e6 < r.score < 0 for r in ppm.score(frame(spark, rest), small).collect())
 
 
+@pytest.mark.parametrize("nodes", [1 << 20, 100, 0])
+def test_scores_do_not_depend_on_what_travels(spark, nodes):
+    rows = list(enumerate(texts()))
+    train, rest = frame(spark, rows[:30]), rows[25:] + [(99, "unseen Ω bytes"), (98, "Zebra \x00 \x01tone stone")]
+    plain = ppm.Adaptive()
+    for _, t in rows[:30]:
+        b = bytes([ppm.START] * ppm.ORDER) + (t or "").encode() + bytes([ppm.END])
+        for i in range(ppm.ORDER, len(b)):
+            plain.learn(b[i - ppm.ORDER : i], b[i])
+    model = ppm.train(train, nodes)
+    got = {r.doc_id: r.score for r in ppm.score(frame(spark, rest), model).collect()}
+    based = {r.doc_id: r.score for r in ppm.score_with_base(frame(spark, rest), ppm.F.lit(True), model).collect()}
+    for i, t in rest:
+        assert got[i] == pytest.approx(plain.text(t or "", learn=False), rel=1e-9, abs=1e-9)
+        assert based[i] == pytest.approx(got[i], rel=1e-9)
+
+
 def test_adaptive(spark):
     got = {r.doc_id: r.score for r in ppm.score_adaptive(frame(spark, [(1, "abcabcabcabcabcabcabcabc"), (2, "abczkqhvnbclamqpwoeirutx"), (3, None)])).collect()}
     assert got[1] > got[2] and got[3] == pytest.approx(-math.log10(256))
