@@ -30,6 +30,8 @@ from .common import map_texts
 #: Elements without content, elements whose content is no markup, elements that stay within a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe svg".split())
+#: Of these, those whose content is no markup either: it ends at the first end tag of the name, whatever stands before.
+RAW_TEXT = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for t in ("script", "style", "noscript", "textarea", "iframe")}
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
 #: An opening tag of these ends open paragraphs, as the standard has it.
 ENDS_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
@@ -53,6 +55,17 @@ class Block:
     key: int = field(default=0)
 
 
+def tokens(page: str) -> Iterator[tuple[re.Match, int]]:
+    """Each tag or comment, and where the page goes on: after it, or after the raw text that it opens."""
+    at = 0
+    while m := TOKEN.search(page, at):
+        at = m.end()
+        ends = None if m[1] or not m[2] or m[3].endswith("/") else RAW_TEXT.get(m[2].lower())
+        if ends:
+            at = last.end() if (last := ends.search(page, at)) else len(page)
+        yield m, at
+
+
 def blocks_of(page: str) -> list[Block]:
     """The non-empty leaf blocks of a page, in page order."""
     found: list[Block] = []
@@ -84,14 +97,14 @@ def blocks_of(page: str) -> list[Block]:
 
     at = 0
     skip = ""
-    for m in TOKEN.finditer(page):
+    for m, end in tokens(page):
         close, tag = m[1], (m[2] or "").lower()
         if skip:
             if close and tag == skip:
-                skip, at = "", m.end()
+                skip, at = "", end
             continue
         add(page[at : m.start()])
-        at = m.end()
+        at = end
         if not tag:
             continue
         if tag not in INLINE:
@@ -111,7 +124,7 @@ def blocks_of(page: str) -> list[Block]:
                         pass
             continue
         if tag in RAW:
-            skip = "" if m[3].endswith("/") else tag
+            skip = "" if m[3].endswith("/") or tag in RAW_TEXT else tag
             continue
         if tag in VOID or m[3].endswith("/"):
             continue

@@ -16,6 +16,12 @@ def test_blocks():
     assert x.blocks_of("") == [] and x.blocks_of("<p> \n</p><script>open") == []
 
 
+def test_raw_text_ends_at_its_end_tag():
+    for raw in ("for(i=0;i<n;i++){f(i)}", "<!-- open", "s='<b';", "a<b && c>'d", "</scripts>"):
+        for page in (f"<p>a</p><script>{raw}</script><p>b</p>", f"<p>a</p><SCRIPT async>{raw}</Script ><p>b</p>", f"<p>a</p><template><script>{raw}</script></template><p>b</p>", f"<p>a</p><style>{raw}</style><p>b</p>"):
+            assert [b.text for b in x.blocks_of(page)] == ["a", "b"], page
+
+
 def test_viterbi_is_exact():
     rng = np.random.default_rng(3)
     f = x.Field()
