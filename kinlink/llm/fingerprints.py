@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from itertools import pairwise
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,8 @@ from .common import documents, map_texts
 
 SEED, PERIOD, SAMPLES, GROUPS, PAD = 20_240_607, 4096, 32, 34, 72
 BAND = 4
+#: Classes in a block of a band.
+BLOCK = 96
 
 
 def _tables() -> tuple[np.ndarray, list[np.ndarray]]:
@@ -125,8 +127,9 @@ def near_pairs(prints: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFr
     """Links between fingerprints that share a band, and membership.
 
     Equal fingerprints are one class, named by its smallest doc_id. Returns (links, members): links has a, b, likeness with
-    a < b, from each class to the smallest class of a band that it stands in, verified; members has doc_id, class_id. No
-    pairs are made within a band, so a band's rows grow with its classes, not with their square.
+    a < b, verified; members has doc_id, class_id. Whatever classes share a band and are near are connected by links. The
+    classes of a band are dealt into blocks of about BLOCK, and each pair of blocks is a task group of its own, of whose
+    links a spanning forest is returned; so no group is larger than two blocks, and no pair rows are made.
     """
     reps = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("class_id"))
     members = prints.join(reps, "fingerprint").select("doc_id", "class_id")
@@ -138,20 +141,39 @@ def near_pairs(prints: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFr
         .select("class_id", "band", F.expr(f"substring(fingerprint, band * {width} + 1, {width})").alias("bits"))
         .filter(~F.col("bits").rlike("^([0-9a-f]{2})*?00([0-9a-f]{2})*$"))
     )
-    low = keyed.groupBy("band", "bits").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z")).filter("a < z").drop("z")
-    pairs = keyed.join(low, ["band", "bits"]).filter("a < class_id").select("a", F.col("class_id").alias("b")).distinct()
-    named = reps.select(F.col("class_id"), "fingerprint")
-    both = pairs.join(named.withColumnsRenamed({"class_id": "a", "fingerprint": "fa"}), "a").join(named.withColumnsRenamed({"class_id": "b", "fingerprint": "fb"}), "b")
-
-    def make():
-        def verified(block: dict) -> Iterator[dict]:
-            near = [likeness(bytes.fromhex(x), bytes.fromhex(y)) for x, y in zip(block["fa"], block["fb"], strict=True)]
-            ok = [i for i, v in enumerate(near) if v >= least]
-            yield {"a": [block["a"][i] for i in ok], "b": [block["b"][i] for i in ok], "likeness": [near[i] for i in ok]}
-
-        return verified
-
-    return map_texts(both, make, "a long, b long, likeness double"), members
+    sizes = keyed.groupBy("band", "bits").agg(F.count("*").alias("n")).filter("n > 1").select("band", "bits", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    placed = keyed.join(sizes, ["band", "bits"]).withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
+    spread = placed.select("class_id", "band", "bits", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    groups = spread.select("class_id", "band", "bits", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+
+    def linked(pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values("class_id")
+        found = near_forest([bytes.fromhex(x) for x in pdf["fingerprint"]], least)
+        ids = pdf["class_id"].to_numpy()
+        return pd.DataFrame({"a": [ids[x] for x, _, _ in found], "b": [ids[y] for _, y, _ in found], "likeness": [v for _, _, v in found]}).astype({"a": "int64", "b": "int64", "likeness": "float64"})
+
+    rows = groups.join(reps.filter("class_id is not null"), "class_id")
+    return rows.groupBy("band", "bits", "i", "j").applyInPandas(linked, "a long, b long, likeness double").distinct(), members
+
+
+def near_forest(prints: list[bytes], least: float) -> list[tuple[int, int, float]]:
+    """A spanning forest of the near pairs among some fingerprints, by their places, with likeness."""
+    parent = list(range(len(prints)))
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    for x, y in combinations(range(len(prints)), 2):
+        p, q = top(x), top(y)
+        if p != q and (v := likeness(prints[x], prints[y])) >= least:
+            parent[max(p, q)] = min(p, q)
+            out.append((x, y, v))
+    return out
 
 
 def _ranges(docs: DataFrame, n: int) -> tuple[Callable[[Column], Column], list[int], list[int]]:

@@ -70,3 +70,21 @@ def test_near_pairs(spark):
     joined = {(r.a, r.b) for r in links.collect()} | {(r.class_id, r.doc_id) for r in members.collect() if r.class_id != r.doc_id}
     assert joined == {(0, 6), (1, 7), (2, 8)}
     assert np.all([r.likeness >= 0.8 for r in links.collect()])
+
+
+def test_near_pairs_under_a_shared_header(spark, monkeypatch):
+    monkeypatch.setattr(fp, "BLOCK", 4)
+    rng = random.Random(5)
+    draw = lambda: bytes(rng.randrange(1, 256) for _ in range(32))
+    head, prints = draw()[:8], []
+    for _ in range(8):  # each with one copy that has other bytes in six bands, so that only the header's bands are shared
+        one = head + draw()[8:]
+        two = bytearray(one)
+        for i in range(8, 32, 4):
+            two[i] ^= 1 if two[i] > 1 else 2
+        prints += [one, bytes(two)]
+    prints = [head + draw()[8:] for _ in range(3)] + prints
+    frame = spark.createDataFrame([(i, 32, p.hex()) for i, p in enumerate(prints)], "doc_id long, n_chars long, fingerprint string")
+    links, _ = fp.near_pairs(frame)
+    want = {(a, b) for a in range(len(prints)) for b in range(a + 1, len(prints)) if fp.share_band(prints[a], prints[b]) and fp.likeness(prints[a], prints[b]) >= 0.8}
+    assert {(r.a, r.b) for r in links.collect()} == want and len(want) == 8
