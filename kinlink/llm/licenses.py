@@ -7,6 +7,9 @@ the threshold only if it holds one of the template's first |t| - need + 1 words
 templates are a short constant list and travel as literals, so the join needs no shuffle, and a block is never paired with
 all templates that share some common word.
 
+With ``wrapped``, every run of words as long as the template (repeated words counted) is a block too, wherever lines end.
+Only runs around one of its prefix words can match, and only texts with a line break have runs that no line holds.
+
 Edge cases: a null text is empty; texts without words have n_words 0, no labels and score 0; repeated rows are scanned
 each; an empty table gives no rows.
 """
@@ -49,9 +52,12 @@ def lower_words(text: Column) -> Column:
     return words(F.translate(text, UPPER, LOWER))
 
 
+def _words(template: str) -> list[str]:
+    return "".join(c if c.isalnum() else " " for c in template.lower()).split()
+
+
 def _plain(template: str) -> list[str]:
-    out = "".join(c if c.isalnum() else " " for c in template.lower()).split()
-    return list(dict.fromkeys(out))
+    return list(dict.fromkeys(_words(template)))
 
 
 def frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
@@ -61,9 +67,10 @@ def frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     return dict(found.join(F.broadcast(known), "word").groupBy("word").count().collect())
 
 
-def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, n_words, places (label, start of each phrase), found (label, line, containment of each match)."""
+def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, wrapped: bool = False) -> DataFrame:
+    """doc_id, n_words, places (label, start of each phrase), found (label, line, containment of each match; line null: of a run)."""
     sets = {label: _plain(t) for t, label in templates.items()}
+    lengths = {label: len(_words(t)) for t, label in templates.items()}
     count = frequencies(docs, sorted({w for s in sets.values() for w in s}))
     shapes, rare = [], set()
     for label, s in sets.items():
@@ -71,7 +78,7 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str
         need = max(1, -int(-threshold * len(s) // 1))
         prefix = s[: len(s) - need + 1]
         rare |= set(prefix)
-        shapes.append(F.struct(F.lit(label).alias("label"), _strings(s).alias("tokens"), _strings(prefix).alias("prefix"), F.lit(need).alias("need"), F.lit(len(s)).alias("size")))
+        shapes.append(F.struct(F.lit(label).alias("label"), _strings(s).alias("tokens"), _strings(prefix).alias("prefix"), F.lit(need).alias("need"), F.lit(len(s)).alias("size"), F.lit(lengths[label]).alias("length")))
     shape_list = F.array(*shapes)
 
     text = F.col("text")
@@ -89,6 +96,9 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str
     at = F.array().cast("array<struct<label:string,start:int>>")
     # the words are bound to a variable, or else each step of the search below would split the text again
     places = F.element_at(F.transform(F.array(own), lambda w: F.flatten(F.array(*(_labelled(_starts(w, h), phrases[p]) for p, h in heads.items())))), 1)
+    if wrapped:
+        runs = F.element_at(F.transform(F.array(own), lambda w: _runs(w, shape_list, sorted(rare))), 1)
+        found = F.concat(found, F.when(text.contains("\n"), runs).otherwise(none))
     return documents(docs).select(
         "doc_id",
         F.size(words(text)).cast("long").alias("n_words"),
@@ -111,6 +121,22 @@ def _passes(tokens: Column, t: Column) -> Column:
     return F.arrays_overlap(tokens, t["prefix"]) & (F.size(tokens) >= t["need"]) & (first > 0) & (t["size"] - first + 1 >= t["need"]) & (F.size(F.array_intersect(t["tokens"], tokens)) >= t["need"])
 
 
+def _runs(own: Column, shapes: Column, rare: list[str]) -> Column:
+    """The templates that match a run of their length, with their best containment; around prefix words, as _passes has them."""
+    every = F.when(F.size(own) > 0, F.sequence(F.lit(0), F.size(own) - 1)).otherwise(F.array().cast("array<int>"))
+    spots = F.filter(every, lambda i: F.get(own, i).isin(rare))
+    low = lambda i, t: F.greatest(i - t["length"] + 1, F.lit(0))
+    shared = lambda t, start, length: F.size(F.array_intersect(t["tokens"], F.slice(own, start + 1, length)))
+
+    def best(at: Column, t: Column) -> Column:
+        near = F.filter(at, lambda i: F.array_contains(t["prefix"], F.get(own, i)) & (shared(t, low(i, t), 2 * t["length"] - 1) >= t["need"]))
+        return F.array_max(F.transform(near, lambda i: F.array_max(F.transform(F.sequence(low(i, t), i), lambda j: shared(t, j, t["length"])))))
+
+    # the spots are bound to a variable, or else each template would look for them again
+    each = F.element_at(F.transform(F.array(spots), lambda at: F.transform(shapes, lambda t: F.struct(t["label"].alias("label"), t["need"].alias("need"), t["size"].alias("size"), best(at, t).alias("best")))), 1)
+    return F.transform(F.filter(each, lambda x: x["best"] >= x["need"]), lambda x: F.struct(x["label"].alias("label"), F.lit(None).cast("int").alias("line"), (x["best"] / x["size"]).alias("containment")))
+
+
 def _starts(own: Column, phrase: list[str]) -> Column:
     """Places (from 0) at which the phrase's words stand one after the other."""
     k = len(phrase)

@@ -65,7 +65,15 @@ def op9_token_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return _license_labels(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+def op10_license_containment_wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op10_license_containment, with blocks that span lines; without SQL."""
+    return _license_labels(licenses.scan(table(spark, sf_dir, "documents"), wrapped=True))
+
+
+def _license_labels(found: DataFrame) -> DataFrame:
     base = F.transform("places", lambda x: x["label"])
     own = F.transform("found", lambda x: x["label"])
     said = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
