@@ -126,6 +126,13 @@ def pool_with_distractors(spark, d):
     return tables.pool(pool, targets, ["US", "India"], 200).select("entity_id", "country")
 
 
+@query("pool_with_all_matches", _POOLED.replace(" WHERE s1_id LIKE '%0'", ""))
+def pool_with_all_matches(spark, d):
+    """As pool_with_distractors, with every true match as a target."""
+    _, pool, truth = entities.views(spark, d)
+    return tables.pool(pool, truth.select(F.col("cand_id").alias("entity_id")), ["US", "India"], 200).select("entity_id", "country")
+
+
 @query("hardest_pairs")
 def hardest_pairs(spark, d):
     s1, pool, truth = entities.views(spark, d)
