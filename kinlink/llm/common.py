@@ -47,6 +47,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write a frame as Parquet (in the shared folder if no path is given) and read it back."""
     path = path or f"{shared_folder(df.sparkSession)}/kinlink-{uuid.uuid4().hex}"

@@ -1,41 +1,49 @@
-"""Exact n-gram Jaccard join by token combinations.
+"""Exact n-gram Jaccard join by token-combination prefixes.
 
 Tokens are the hashed word shingles of a text; documents of equal sets are one node. All sets are put in one global order
-(by hash). Two linked sets of sizes n and m share at least s = ceil(t (n + m) / (1 + t)) tokens, so at most n - s and
-m - s are unshared. From that follow two exact filters:
-
-* Rare tokens, single: an extended prefix of each node is indexed by single tokens. A token that stands in one node alone
-  is shared with no one; a node with more of them than it may leave unshared, n - ceil(t n), has no link. Most documents
-  end here, after one aggregation that combines equal tokens before the shuffle.
-* The others, in combinations: the unshared tokens cut the shared ones into at most (n - s) + (m - s) + 1 runs, so some run
-  of k shared tokens is adjacent in both orders, with k the largest such number for all sizes that can link. At least
-  s - (unshared + 1) (k - 1) runs of k are shared, so an extended prefix of each node's runs, in the order of their hashes,
-  holds a shared one. These runs are the index keys of the nodes left; nodes without a common key have no link.
-
-Nodes that a chain of keys connects are a family. Families are verified in blocks of bounded size: each pair of blocks of a
-family is a task group of its own, in which the intersections are counted exactly; only a spanning forest of its links is
-returned, from which the components follow. No pair rows are made, and no group is larger than two blocks.
+(by hash). A set of n tokens lacks at most D = n - ceil(t n) of its tokens in any set that it links with.
+
+* Extended prefixes. Of two linked sets, the one whose prefix of D + T tokens ends first in the order shares T of these at
+  least, and all of them stand in the other's prefix. A token that stands in one prefix alone is shared with no one there,
+  so a node with fewer than T others (T of the least size that it can link with) has no link. Most documents end here, after
+  one aggregation that combines equal tokens before the shuffle.
+* Token classes. Among the nodes left, a token of more than FREQUENT prefixes is frequent, any other is rare. Rare tokens
+  are index keys singly, frequent ones in combinations: runs of K that are neighbours among a set's frequent tokens. An
+  unshared token spoils one rare key or K runs, a foreign frequent one K - 1 runs; a set's key prefix is extended until
+  what a linked set can spoil is less than its keys. Where rare tokens alone suffice, the set wants no runs; it offers them
+  to sets that do, and a run that no set wants is no key.
+* Verification. Nodes that share a key are candidates. First each key names a representative, and each node is compared
+  with one representative: so the members of a dense family are joined by a number of comparisons that is linear in the
+  family. Keys whose nodes are not all in one component yet stay open, and this is repeated while it joins much. For what
+  is then open, every two nodes of different components that are connected by open keys are compared, in pairs of blocks of
+  bounded size. All comparisons count the intersection exactly; components follow from the links. No pair rows are made.
 
 Edge cases: texts without words (null, empty) have no shingle and link with nothing; a null doc_id takes part, but names no
-component unless all its members are null; repeated rows are returned each; an empty table gives no rows. Sets and tokens
-are told apart by 64-bit hashes.
+component unless all its members are null; repeated rows are returned each; an empty table gives no rows; other columns of
+any name are dropped (``keep_one`` keeps them); a very long text is one set, of which only prefixes are indexed. Sets and
+tokens are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, components, cut, documents, lower_words, map_texts, shingles, stored
+from .common import WordHash, components, cut, documents, fresh, lower_words, map_texts, shingles, stored
 
-#: Nodes in a block of a family.
+#: Nodes in a block of a comparison.
 BLOCK = 96
+#: A token of more prefixes than this is frequent.
+FREQUENT = 64
+#: Longest run of frequent tokens that is a key.
 LONGEST_RUN = 6
+#: Representatives are chosen anew while a round closes at least this share of the open nodes.
+WORTH = 0.25
 
 
 def unshared(n: int, percent: int) -> int:
@@ -43,34 +51,70 @@ def unshared(n: int, percent: int) -> int:
     return n - -(-percent * n // 100)
 
 
-@lru_cache(100_000)
-def run_length(n: int, percent: int) -> int:
-    """Longest run that a set of n shares, adjacent in both orders, with any set it links with."""
-    m = np.arange(-(-percent * n // 100), 100 * n // percent + 1)
-    s = -(-percent * (n + m) // (100 + percent))
-    return int(np.clip((s - 1) // (n + m - 2 * s + 1) + 1, 1, LONGEST_RUN).min())
+def shared_least(n: int, percent: int) -> int:
+    """T: how many tokens of its extended prefix a set of n shares with a linked one whose prefix ends later."""
+    d = unshared(n, percent)
+    return min(9 + d // 2, n - d)
+
+
+def prefix_length(n: int, percent: int) -> int:
+    return unshared(n, percent) + shared_least(n, percent)
+
+
+def may_lack(n: int, percent: int) -> int:
+    """Most tokens of a linked set's extended prefix that stand in no other prefix."""
+    return prefix_length(n, percent) - shared_least(-(-percent * n // 100), percent) if n else 0
 
 
 @lru_cache(100_000)
 def run_lengths(n: int, percent: int) -> tuple[int, ...]:
-    """The run lengths under which a set of n can meet a linked one: those of all sizes that can link with it."""
-    low, high = -(-percent * n // 100), 100 * n // percent
-    return tuple(sorted({run_length(m, percent) for m in {low, n, high, *range(low, min(high, low + 200) + 1)}}))
+    """The run lengths of a set of n: one for small sets, a longer one for others; sets near the border have both.
+
+    K runs are enough for sets of which K (D + 1) tokens can be had.
+    """
+    high = max(1, min(LONGEST_RUN, 100 // max(1, 100 - percent) - 1))
+    border = -(-100 * high // (100 - high * (100 - percent)))
+    return tuple(sorted({k for k, has in ((min(2, high), -(-percent * n // 100) < border), (high, n >= border)) if has}))
 
 
-@lru_cache(100_000)
-def key_count(n: int, k: int, percent: int) -> int:
-    """How many of a set's runs of k must be keys, for one that it shares with any linked set to be among them."""
+@lru_cache(4096)
+def _spoiled(n: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each size that a set of n can link with: how many tokens of either are unshared at most."""
     m = np.arange(-(-percent * n // 100), 100 * n // percent + 1)
     s = -(-percent * (n + m) // (100 + percent))
-    common = int((s - (n + m - 2 * s + 1) * (k - 1)).min())
-    return n - k + 1 - max(common, 1) + 1
+    return n - s, m - s
+
+
+def key_prefix(frequent: np.ndarray, k: int, percent: int) -> tuple[int, bool]:
+    """Length of a set's key prefix, and whether the set wants runs. frequent: whether each token of the ordered set is."""
+    n = len(frequent)
+    rare = np.cumsum(~frequent)
+    alone = int(np.searchsorted(rare, unshared(n, percent) + 1)) + 1  # from here on rare tokens suffice
+    own, foreign = _spoiled(n, percent)
+
+    def enough(p: int) -> bool:
+        left = own - rare[p - 1]
+        reach = left >= 0
+        return not reach.any() or int((k * left + (k - 1) * foreign)[reach].max()) < p - rare[p - 1] - k + 1
 
+    low, high = 1, n
+    while low < high:
+        mid = (low + high) // 2
+        low, high = (low, mid) if enough(mid) else (mid + 1, high)
+    return (alone, False) if alone <= min(n, 2 * low) else (low, True)
 
-def keys_of(s: np.ndarray, percent: int) -> np.ndarray:
-    """The keys of an ordered token set: the first runs, in the order of their hashes, of each length."""
-    parts = [np.sort(shingles(s, k) ^ np.uint64(k))[: key_count(len(s), k, percent)] for k in run_lengths(len(s), percent) if k <= len(s)]
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+def keys_of(s: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rare tokens, runs that the set wants, runs that it offers): the keys of an ordered set."""
+    rare, runs = 0, {True: [], False: []}
+    for k in run_lengths(len(s), percent):
+        p, wants = key_prefix(frequent, k, percent)
+        rare = max(rare, p)
+        often = s[:p][frequent[:p]]
+        if len(often) >= k:
+            runs[wants].append(shingles(often, k) ^ np.uint64(k))
+    none = np.zeros(0, np.uint64)
+    return s[:rare][~frequent[:rare]], np.concatenate([none, *runs[True]]), np.concatenate([none, *runs[False]])
 
 
 def token_set(words: list[bytes], hashed: WordHash, size: int) -> np.ndarray:
@@ -78,8 +122,12 @@ def token_set(words: list[bytes], hashed: WordHash, size: int) -> np.ndarray:
     return np.unique(shingles(hashed.of(words), size))
 
 
+def set_hash(s: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64))
+
+
 def nodes_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, n, node (hash of the set; null without shingles), may_lack, prefix: the extended prefix."""
+    """row (hash of doc_id and text), doc_id, n, node (hash of the set; null without shingles), may_lack, prefix."""
 
     def make():
         hashed = WordHash()
@@ -88,43 +136,46 @@ def nodes_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
             out: dict[str, list] = {k: [] for k in ("n", "node", "may_lack", "prefix")}
             for text in block["text"]:
                 s = token_set(lower_words(text), hashed, size)
-                d = unshared(len(s), percent)
                 out["n"].append(len(s))
-                out["node"].append(int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) if len(s) else None)
-                out["may_lack"].append(d)
-                out["prefix"].append(s[: d + 1 + d // 2 + 8].view(np.int64))
-            yield out | {"doc_id": block["doc_id"]}
+                out["node"].append(set_hash(s) if len(s) else None)
+                out["may_lack"].append(may_lack(len(s), percent))
+                out["prefix"].append(s[: prefix_length(len(s), percent)].view(np.int64))
+            yield out | {"row": block["row"], "doc_id": block["doc_id"]}
 
         return sets
 
-    return map_texts(documents(docs), make, "doc_id long, n long, node long, may_lack long, prefix array<long>")
+    return map_texts(documents(docs).withColumn("row", F.xxhash64("doc_id", "text")), make, "row long, doc_id long, n long, node long, may_lack long, prefix array<long>")
 
 
-def link(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row."""
+def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """row, doc_id, n, node, component (a node) of every row; node and component are null without shingles."""
     rows = stored(nodes_of(docs, size, percent))
-    nodes = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("may_lack").alias("may_lack"))
+    full = rows.filter("node is not null")
+    nodes = full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("may_lack").alias("may_lack"))
 
-    tokens = rows.filter("node is not null").select("node", F.explode("prefix").alias("token"))
+    tokens = full.select("node", F.explode("prefix").alias("token"))
     alone = tokens.groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other").groupBy("node").agg(F.count("*").alias("lacks"))
     left = cut(nodes.join(alone, "node", "left").filter(F.coalesce("lacks", F.lit(0)) <= F.col("may_lack")).select("node", "first_id"))
 
     sets = stored(survivors(docs, left, size, percent))
-    keyed = sets.select("node", F.explode("keys").alias("key"))
-    low = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    family = cut(components(keyed.join(low.select("key", "low"), "key").filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()))
+    found = stored(links(sets, percent))
+    groups = stored(components(found))
+    rows = rows.select("row", "doc_id", "n", "node")
+    joined = rows.filter("node is not null").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return joined.unionByName(rows.filter("node is null").withColumn("component", F.lit(None).cast("long")))
+
 
-    links = cut(verify(sets, family, percent))
-    groups = components(links)
-    named = rows.select("node", "doc_id").filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"))
-    whole = named.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = whole.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    ids = whole.join(least, "component").select("node", "component_id")
-    return rows.join(ids, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+def link(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row."""
+    rows = stored(grouped(docs, size, percent))
+    full = rows.filter("component is not null")
+    least = stored(full.groupBy("component").agg(F.min("doc_id").alias("component_id")))
+    named = full.join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return named.unionByName(rows.filter("component is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def survivors(docs: DataFrame, left: DataFrame, size: int, percent: int) -> DataFrame:
-    """node, tokens (bytes of the ordered set), n, keys: of one document of each node that is left.
+    """node, tokens (bytes of the ordered set), n: of one document of each node that is left.
 
     Rows that share a doc_id can bring a node twice or a node that is not left; links are verified, so these do no harm.
     """
@@ -136,44 +187,129 @@ def survivors(docs: DataFrame, left: DataFrame, size: int, percent: int) -> Data
         hashed = WordHash()
 
         def sets(block: dict) -> Iterator[dict]:
-            out: dict[str, list] = {k: [] for k in ("node", "n", "tokens", "keys")}
-            for text in block["text"]:
-                s = token_set(lower_words(text), hashed, size)
-                if not len(s):
-                    continue
-                out["node"].append(int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)))
-                out["n"].append(len(s))
-                out["tokens"].append(s.tobytes())
-                out["keys"].append(keys_of(s, percent).view(np.int64))
-            yield out
+            found = [s for s in (token_set(lower_words(t), hashed, size) for t in block["text"]) if len(s)]
+            yield {"node": list(map(set_hash, found)), "n": list(map(len, found)), "tokens": [s.tobytes() for s in found]}
 
         return sets
 
-    return map_texts(chosen.unionByName(unnamed), make, "node long, n long, tokens binary, keys array<long>")
-
-
-def verify(sets: DataFrame, family: DataFrame, percent: int) -> DataFrame:
-    """a, b: a spanning forest of the links of each pair of blocks of each family."""
-    sizes = family.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = family.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    spread = placed.select("node", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    groups = spread.select("node", "component", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
-    rows = sets.select("node", "tokens").join(groups, "node")
+    return map_texts(chosen.unionByName(unnamed), make, "node long, n long, tokens binary")
+
+
+def keyed(sets: DataFrame, percent: int) -> DataFrame:
+    """node, key of every node and key that it shares with another node."""
+
+    def make_prefix():
+        def prefixes(block: dict) -> Iterator[dict]:
+            parts = [np.frombuffer(t, np.int64)[: 2 * prefix_length(n, percent)] for t, n in zip(block["tokens"], block["n"], strict=True)]
+            yield {"node": block["node"], "prefix": parts}
+
+        return prefixes
+
+    marked = map_texts(sets.select("node", "n", "tokens"), make_prefix, "node long, prefix array<long>")
+    tokens = stored(marked.select("node", F.posexplode("prefix").alias("pos", "token")))
+    often = stored(tokens.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > FREQUENT).select("token"))
+    places = tokens.join(often, "token").groupBy("node").agg(F.collect_set("pos").alias("often"))
+
+    def make_keys():
+        def keys(block: dict) -> Iterator[dict]:
+            out: dict[str, list] = {k: [] for k in ("rare", "wants", "offers")}
+            for t, often in zip(block["tokens"], block["often"], strict=True):
+                s = np.frombuffer(t, np.uint64)
+                frequent = np.zeros(len(s), bool)
+                frequent[np.array(often or [], np.int64)] = True
+                for name, x in zip(out, keys_of(s, frequent, percent), strict=True):
+                    out[name].append(x.view(np.int64))
+            yield out | {"node": block["node"]}
+
+        return keys
+
+    found = stored(map_texts(sets.select("node", "tokens").join(places, "node", "left"), make_keys, "node long, rare array<long>, wants array<long>, offers array<long>"))
+    each = reduce(DataFrame.unionByName, (found.select("node", F.explode(c).alias("key"), F.lit(c != "offers").alias("wanted")) for c in ("rare", "wants", "offers")))
+    shared = stored(each.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("wanted").alias("wanted")).filter("low < high and wanted").select("key"))
+    return each.select("node", "key").join(shared, "key")
+
+
+def links(sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: links that connect all linked nodes."""
+    open_, found, before, turn = stored(keyed(sets, percent)), [], None, 0
+    components_of = None
+    while True:
+        turn += 1
+        if components_of is None:
+            now = open_.withColumn("component", F.col("node"))
+        else:
+            now = open_.join(components_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        choice = F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("rep")
+        reps = stored(now.groupBy("key").agg(choice, F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key", F.col("rep.node").alias("rep"), F.col("rep.component").alias("rep_component")))
+        now = stored(now.join(reps, "key"))
+        n = now.select("node").distinct().count()
+        if not n or before is not None and n > (1 - WORTH) * before:
+            break
+        before = n
+        asks = now.filter("component <> rep_component").groupBy("node").agg(F.min_by("rep", F.xxhash64("rep", F.lit(turn))).alias("rep"))
+        found.append(stored(compare(sets, stars(stored(asks)), percent)))
+        components_of = stored(components(reduce(DataFrame.unionByName, found)))
+        open_ = now.select("node", "key")
+    if n:
+        found.append(stored(compare(sets, crossings(now), percent)))
+    return reduce(DataFrame.unionByName, found) if found else now.select(F.col("node").alias("a"), F.col("node").alias("b"))
+
+
+def stars(asks: DataFrame) -> DataFrame:
+    """Group (rep, block), side, node: each node on the right side of its representative, about BLOCK of them in a group."""
+    sizes = stored(asks.groupBy("rep").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
+    right = asks.join(sizes, "rep").select("rep", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("side"), "node")
+    left = sizes.select("rep", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("side"), F.col("rep").alias("node"))
+    return right.unionByName(left)
+
+
+def crossings(now: DataFrame) -> DataFrame:
+    """Group (seven columns), side, node: every two nodes of different components that open keys connect meet in a group.
+
+    Components of BLOCK nodes or more are units of their own, whose nodes needn't meet each other; smaller ones share units of
+    about BLOCK nodes. Each pair of blocks of two units is a group.
+    """
+    low = stored(now.groupBy("key").agg(F.min("node").alias("low")))
+    family = components(now.join(low, "key").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()).select("node", F.col("component").alias("family"))
+    nodes = stored(now.select("node", "component").distinct().join(family, "node"))
+    sizes = stored(nodes.groupBy("family", "component").agg(F.count("*").alias("size")))
+    small = F.col("size") < BLOCK
+    shared = sizes.filter(small).groupBy("family").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("units"))
+    units = sizes.join(shared, "family", "left").select("family", "component", (~small).alias("pure"), F.when(small, F.pmod(F.xxhash64("component"), F.col("units"))).otherwise(F.col("component")).cast("long").alias("unit"), F.when(small, 1).otherwise(F.ceil(F.col("size") / BLOCK)).cast("int").alias("blocks"))
+    units = stored(units)
+    placed = stored(nodes.join(units, ["family", "component"]).select("node", "family", "pure", "unit", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")))
+    one = units.groupBy("family", "pure", "unit").agg(F.max("blocks").alias("blocks"))
+    x, y = one.select("family", *(F.col(c).alias(f"{c}_x") for c in ("pure", "unit", "blocks"))), one.select("family", *(F.col(c).alias(f"{c}_y") for c in ("pure", "unit", "blocks")))
+    before, same = F.struct("pure_x", "unit_x") < F.struct("pure_y", "unit_y"), (F.col("pure_x") == F.col("pure_y")) & (F.col("unit_x") == F.col("unit_y"))
+    pairs = x.join(y, "family").filter(before | same & ~F.col("pure_x"))
+    pairs = stored(pairs.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks_x") - 1))).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks_y") - 1))))
+    group = ["family", "pure_x", "unit_x", "i", "pure_y", "unit_y", "j"]
+    ends = lambda c, i: [F.col(f"pure_{c}").alias("pure"), F.col(f"unit_{c}").alias("unit"), F.col(i).alias("block")]
+    wanted = pairs.select(*group, F.lit(0).alias("side"), *ends("x", "i")).unionByName(pairs.filter(~same).select(*group, F.lit(1).alias("side"), *ends("y", "j")))
+    return placed.join(wanted, ["family", "pure", "unit", "block"]).select(*group, "side", "node")
+
+
+def compare(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """a, b: for each group a spanning forest of the links between its sides (or within its only side)."""
+    rows = sets.select("node", "tokens").join(stored(groups), "node")
+    group = [c for c in groups.columns if c not in ("node", "side")]
 
     def linked(pdf):
         import pandas as pd
 
-        nodes = pdf["node"].to_numpy()
-        parts = [np.frombuffer(t, np.uint64) for t in pdf["tokens"]]
-        pairs = link_sets(parts, percent)
+        nodes, side = pdf["node"].to_numpy(), pdf["side"].to_numpy()
+        pairs = link_sets([np.frombuffer(t, np.uint64) for t in pdf["tokens"]], percent, side)
         return pd.DataFrame({"a": [nodes[a] for a, _ in pairs], "b": [nodes[b] for _, b in pairs]}, dtype="int64")
 
-    return rows.groupBy("component", "i", "j").applyInPandas(linked, "a long, b long")
+    return rows.groupBy(*group).applyInPandas(linked, "a long, b long")
 
 
-def link_sets(parts: list[np.ndarray], percent: int, columns: int = 8192) -> list[tuple[int, int]]:
-    """A spanning forest of the linked pairs among some sets, by exact intersection counts."""
+def link_sets(parts: list[np.ndarray], percent: int, side: np.ndarray | None = None, columns: int = 8192) -> list[tuple[int, int]]:
+    """A spanning forest of the linked pairs of two sides (of all pairs if there is one side), by exact intersection counts."""
     n = np.array([len(p) for p in parts], np.int64)
+    side = np.zeros(len(parts), np.int64) if side is None else side
+    two = bool(side.any()) and not side.all()
+    left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if two else (np.arange(len(parts)),) * 2
     _, token, times = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(parts)), n)
     # only tokens of two sets or more count
@@ -182,13 +318,13 @@ def link_sets(parts: list[np.ndarray], percent: int, columns: int = 8192) -> lis
     row, token = row[keep], column[token[keep]]
     order = np.argsort(token, kind="stable")
     row, token = row[order], token[order]
-    inter = np.zeros((len(parts), len(parts)))
+    inter = np.zeros((len(left), len(right)))
     for start in range(0, int(token[-1]) + 1 if len(token) else 0, columns):
         i, j = np.searchsorted(token, [start, start + columns])
         held = np.zeros((len(parts), columns), np.float32)
         held[row[i:j], token[i:j] - start] = 1
-        inter += held @ held.T
-    ok = 100 * inter >= percent * (n[:, None] + n[None, :] - inter)
+        inter += held[left] @ held[right].T
+    ok = 100 * inter >= percent * (n[left][:, None] + n[right][None, :] - inter)
     parent = list(range(len(parts)))
 
     def top(x: int) -> int:
@@ -197,7 +333,8 @@ def link_sets(parts: list[np.ndarray], percent: int, columns: int = 8192) -> lis
         return x
 
     out = []
-    for a, b in np.argwhere(np.triu(ok, 1)).tolist():
+    for a, b in np.argwhere(ok if two else np.triu(ok, 1)).tolist():
+        a, b = int(left[a]), int(right[b])
         x, y = top(a), top(b)
         if x != y:
             parent[max(x, y)] = min(x, y)
@@ -206,11 +343,18 @@ def link_sets(parts: list[np.ndarray], percent: int, columns: int = 8192) -> lis
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents, all columns, of which none is linked with a smaller doc_id; texts without words all stay.
+    """The documents, all columns, of which one of each group of linked texts stays: that of the smallest doc_id.
 
-    Repeated rows of a doc_id are one document; of these one stays.
+    Rows that agree in doc_id and text are one document, and one of them stays; different texts under one doc_id are different
+    documents. Null ids come last. Texts without words all stay.
     """
-    found = link(docs, size, percent)
-    stay = found.filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    found = stored(grouped(docs, size, percent))
+    last = F.lit((1 << 63) - 1)
+    first = F.min(F.struct(F.coalesce("doc_id", last).alias("id"), "row")).alias("first")
+    stay = stored(found.filter("component is not null").groupBy("component").agg(first).select("first.id", "first.row"))
+    a, b = fresh(docs, "id"), fresh(docs, "row")
+    text = F.coalesce("text", F.lit(""))
+    named = docs.withColumns({a: F.coalesce(F.col("doc_id").cast("long"), last), b: F.xxhash64(F.col("doc_id").cast("long"), text)})
+    worded = text.rlike(r"[^\x20\x09-\x0D]")
+    kept = named.filter(worded).join(stay.select(F.col("id").alias(a), F.col("row").alias(b)), [a, b], "left_semi").dropDuplicates([a, b])
+    return kept.unionByName(named.filter(~worded)).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -66,17 +66,58 @@ def test_against_brute_force(spark, size, percent, seed, monkeypatch):
     assert got == plain(rows, size, percent)
 
 
-def test_runs_are_shared():
+def test_keys_are_shared():
+    """Whatever tokens are frequent, linked sets have a common key that one of them wants."""
     rng = np.random.default_rng(7)
-    for percent in (80, 90):
-        for _ in range(3000):
+    for percent in (50, 70, 80, 85, 90, 100):
+        for _ in range(4000):
             n, m = rng.integers(1, 60, 2)
             universe = rng.permutation(200)
             s = int(rng.integers(0, min(n, m) + 1))
+            x, y = universe[:n], np.concatenate([universe[:s], universe[n : n + m - s]])
+            if 100 * s < percent * (n + m - s) or n == m == s:
+                continue
+            often = rng.random(200) < rng.random()
+            keys = []
+            for v in (x, y):
+                h = mix(v.astype(np.uint64))
+                order = np.argsort(h)
+                keys.append([set(k.tolist()) for k in jaccard.keys_of(h[order], often[v[order]], percent)])
+            (r1, w1, o1), (r2, w2, o2) = keys
+            assert r1 & r2 or w1 & (w2 | o2) or w2 & o1, (percent, n, m, s)
+
+
+def test_extended_prefixes():
+    """A linked set has no more tokens alone in its prefix than may_lack says."""
+    rng = np.random.default_rng(8)
+    for percent in (70, 80, 90):
+        for _ in range(4000):
+            n, m = rng.integers(1, 120, 2)
+            universe = rng.permutation(300)
+            s = int(rng.integers(min(n, m) * percent // 100, min(n, m) + 1))
             x, y = np.sort(universe[:n]), np.sort(np.concatenate([universe[:s], universe[n : n + m - s]]))
-            if 100 * s >= percent * (n + m - s) and s:
-                keys = [set(jaccard.keys_of(np.sort(mix(v.astype(np.uint64))), percent).tolist()) for v in (x, y)]
-                assert keys[0] & keys[1], (n, m, s)
+            if 100 * s < percent * (n + m - s):
+                continue
+            p, q = (set(v[: jaccard.prefix_length(len(v), percent)].tolist()) for v in (x, y))
+            assert len(p - q) <= jaccard.may_lack(n, percent) and len(q - p) <= jaccard.may_lack(m, percent), (percent, n, m, s)
+
+
+def test_dense_and_loose_families(spark, monkeypatch):
+    """Families larger than a block: one whose members link with a representative, one that only chains connect."""
+    monkeypatch.setattr(jaccard, "BLOCK", 5)
+    monkeypatch.setattr(jaccard, "FREQUENT", 4)
+    rng = random.Random(6)
+    base = [f"a{i}" for i in range(100)]
+    texts = [" ".join([*base[:50], f"x{i}", *base[50:]]) for i in range(40)]
+    chain = [f"c{i}" for i in range(160)]
+    texts += [" ".join(chain[i : i + 60]) for i in range(0, 60)]
+    line = " ".join(f"l{i}" for i in range(8))
+    texts += [" ".join(rng.choices(base, k=20)) + " " + line for _ in range(40)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame([(i, t, "", "", "") for i, t in rows], SCHEMA).repartition(4)
+    for size, percent in ((1, 90), (3, 90), (2, 80)):
+        got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link(df, size, percent).collect())
+        assert got == plain(rows, size, percent)
 
 
 def test_keep_one(spark):
@@ -86,6 +127,14 @@ def test_keep_one(spark):
     assert kept == [d for d, _, c in plain(rows, 5, 80) if d == c]
 
 
+def test_keep_one_knows_documents_by_id_and_text(spark):
+    rows = [(1, "one two three four five six", "a"), (1, "quite another text under this one id", "b"), (2, "one two three four five six", "c"), (1, "one two three four five six", "d"), (None, "one two three four five six", "e"), (None, None, "f"), (3, " ", "g")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `id` string")
+    kept = jaccard.keep_one(df.withColumn("row", df.doc_id))
+    assert kept.columns == ["doc_id", "text", "id", "row"]
+    assert sorted((str(r.doc_id), r.text or "") for r in kept.collect()) == sorted([("1", rows[0][1]), ("1", rows[1][1]), ("None", ""), ("3", " ")])
+
+
 def test_empty(spark):
     assert jaccard.link(spark.createDataFrame([], SCHEMA)).count() == 0
 
