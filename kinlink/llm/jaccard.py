@@ -13,10 +13,11 @@ Tokens are the hashed word shingles of a text; documents of equal sets are one n
   what a linked set can spoil is less than its keys. Where rare tokens alone suffice, the set wants no runs; it offers them
   to sets that do, and a run that no set wants is no key.
 * Verification. Nodes that share a key are candidates. First each key names a representative, and each node is compared
-  with one representative: so the members of a dense family are joined by a number of comparisons that is linear in the
-  family. Keys whose nodes are not all in one component yet stay open, and this is repeated while it joins much. For what
-  is then open, every two nodes of different components that are connected by open keys are compared, in pairs of blocks of
-  bounded size. All comparisons count the intersection exactly; components follow from the links. No pair rows are made.
+  with one representative, that whose extended prefix shares most with its own: so the members of a dense family are joined
+  by a number of comparisons that is linear in the family. Keys whose nodes are not all in one component yet stay open, and
+  this is repeated while it joins much. Of what is then open, the nodes of a key of up to FEW are paired if their components
+  differ and their sizes and extended prefixes allow a link; larger keys make families, within which every two nodes of different components are compared in pairs of blocks
+  of bounded size. All comparisons count the intersection exactly; components follow from the links.
 
 Edge cases: texts without words (null, empty) have no shingle and link with nothing; a null doc_id takes part, but names no
 component unless all its members are null; repeated rows are returned each; an empty table gives no rows; other columns of
@@ -39,7 +40,9 @@ from .common import WordHash, components, cut, documents, fresh, lower_words, ma
 #: Nodes in a block of a comparison.
 BLOCK = 96
 #: A token of more prefixes than this is frequent.
-FREQUENT = 64
+FREQUENT = 4
+#: An open key of more nodes than this makes no pair rows.
+FEW = 32
 #: Longest run of frequent tokens that is a key.
 LONGEST_RUN = 6
 #: Representatives are chosen anew while a round closes at least this share of the open nodes.
@@ -175,7 +178,7 @@ def link(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
 
 
 def survivors(docs: DataFrame, left: DataFrame, size: int, percent: int) -> DataFrame:
-    """node, tokens (bytes of the ordered set), n: of one document of each node that is left.
+    """node, n, tokens (bytes of the ordered set), prefix: of one document of each node that is left.
 
     Rows that share a doc_id can bring a node twice or a node that is not left; links are verified, so these do no harm.
     """
@@ -188,25 +191,17 @@ def survivors(docs: DataFrame, left: DataFrame, size: int, percent: int) -> Data
 
         def sets(block: dict) -> Iterator[dict]:
             found = [s for s in (token_set(lower_words(t), hashed, size) for t in block["text"]) if len(s)]
-            yield {"node": list(map(set_hash, found)), "n": list(map(len, found)), "tokens": [s.tobytes() for s in found]}
+            prefixes = [s[: prefix_length(len(s), percent)].view(np.int64) for s in found]
+            yield {"node": list(map(set_hash, found)), "n": list(map(len, found)), "tokens": [s.tobytes() for s in found], "prefix": prefixes}
 
         return sets
 
-    return map_texts(chosen.unionByName(unnamed), make, "node long, n long, tokens binary")
+    return map_texts(chosen.unionByName(unnamed), make, "node long, n long, tokens binary, prefix array<long>")
 
 
 def keyed(sets: DataFrame, percent: int) -> DataFrame:
     """node, key of every node and key that it shares with another node."""
-
-    def make_prefix():
-        def prefixes(block: dict) -> Iterator[dict]:
-            parts = [np.frombuffer(t, np.int64)[: 2 * prefix_length(n, percent)] for t, n in zip(block["tokens"], block["n"], strict=True)]
-            yield {"node": block["node"], "prefix": parts}
-
-        return prefixes
-
-    marked = map_texts(sets.select("node", "n", "tokens"), make_prefix, "node long, prefix array<long>")
-    tokens = stored(marked.select("node", F.posexplode("prefix").alias("pos", "token")))
+    tokens = stored(sets.select("node", F.posexplode("prefix").alias("pos", "token")))
     often = stored(tokens.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > FREQUENT).select("token"))
     places = tokens.join(often, "token").groupBy("node").agg(F.collect_set("pos").alias("often"))
 
@@ -246,15 +241,32 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
         if not n or before is not None and n > (1 - WORTH) * before:
             break
         before = n
-        asks = now.filter("component <> rep_component").groupBy("node").agg(F.min_by("rep", F.xxhash64("rep", F.lit(turn))).alias("rep"))
-        found.append(stored(compare(sets, stars(stored(asks)), percent)))
+        asks = promising(now.filter("component <> rep_component").select("rep", "node").distinct(), sets, percent)
+        found.append(stored(compare(sets, stars(stored(asks.groupBy("node").agg(F.max_by("rep", F.struct("shared", "rep")).alias("rep")))), percent)))
         components_of = stored(components(reduce(DataFrame.unionByName, found)))
         open_ = now.select("node", "key")
     if n:
-        found.append(stored(compare(sets, crossings(now), percent)))
+        sizes = stored(now.groupBy("key").agg(F.count("*").alias("size")))
+        now = stored(now.select("node", "key", "component").join(sizes, "key"))
+        x = now.filter(F.col("size") <= FEW).select("key", F.col("node").alias("rep"), F.col("component").alias("c"))
+        pairs = x.join(now.filter(F.col("size") <= FEW), "key").filter("rep < node and c <> component").select("rep", "node").distinct()
+        found.append(stored(compare(sets, stars(stored(promising(pairs, sets, percent).select("rep", "node"))), percent)))
+        found.append(stored(compare(sets, crossings(now.filter(F.col("size") > FEW)), percent)))
     return reduce(DataFrame.unionByName, found) if found else now.select(F.col("node").alias("a"), F.col("node").alias("b"))
 
 
+def promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """rep, node, shared (tokens of both prefixes): the pairs whose sizes and extended prefixes allow a link.
+
+    What a set shares with another beyond the prefix that ends first in the order is at most the rest of that set.
+    """
+    of = lambda name, p: sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{p}"), F.col("prefix").alias(f"prefix_{p}"))
+    both = stored(pairs).join(of("rep", "x"), "rep").join(of("node", "y"), "node").withColumn("shared", F.size(F.array_intersect("prefix_x", "prefix_y")))
+    rest = F.greatest(F.col("n_x") - F.size("prefix_x"), F.col("n_y") - F.size("prefix_y"))
+    sizes = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent
+    return both.filter(sizes & ((F.col("shared") + rest) * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent)).select("rep", "node", "shared").distinct()
+
+
 def stars(asks: DataFrame) -> DataFrame:
     """Group (rep, block), side, node: each node on the right side of its representative, about BLOCK of them in a group."""
     sizes = stored(asks.groupBy("rep").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
