@@ -12,12 +12,12 @@ Tokens are the hashed word shingles of a text; documents of equal sets are one n
   unshared token spoils one rare key or K runs, a foreign frequent one K - 1 runs; a set's key prefix is extended until
   what a linked set can spoil is less than its keys. Where rare tokens alone suffice, the set wants no runs; it offers them
   to sets that do, and a run that no set wants is no key.
-* Verification. Nodes that share a key are candidates. First each key names a representative, and each node is compared
-  with one representative, that whose extended prefix shares most with its own: so the members of a dense family are joined
-  by a number of comparisons that is linear in the family. Keys whose nodes are not all in one component yet stay open, and
-  this is repeated while it joins much. Of what is then open, the nodes of a key of up to FEW are paired if their components
-  differ and their sizes and extended prefixes allow a link; larger keys make families, within which every two nodes of different components are compared in pairs of blocks
-  of bounded size. All comparisons count the intersection exactly; components follow from the links.
+* Verification. Nodes that share a key are candidates. Where more than BLOCK nodes share one, each is first compared with
+  one representative, that which it shares most of its head with; keys whose nodes are not all in one component yet stay
+  open, and this is repeated while it closes much. So a dense family takes a number of comparisons that is linear in its
+  size. The nodes of a key of up to FEW are paired where sizes and heads allow a link, those of a larger open key make a
+  chain; what pairs and chains connect is a family, within which every two nodes of different components are compared, in
+  pairs of blocks of bounded size. All comparisons count the intersection exactly; components follow from the links.
 
 Edge cases: texts without words (null, empty) have no shingle and link with nothing; a null doc_id takes part, but names no
 component unless all its members are null; repeated rows are returned each; an empty table gives no rows; other columns of
@@ -41,8 +41,8 @@ from .common import WordHash, components, cut, documents, fresh, lower_words, ma
 BLOCK = 96
 #: A token of more prefixes than this is frequent.
 FREQUENT = 4
-#: An open key of more nodes than this makes no pair rows.
-FEW = 32
+#: A key of more nodes than this makes no pair rows.
+FEW = 8
 #: Longest run of frequent tokens that is a key.
 LONGEST_RUN = 6
 #: Representatives are chosen anew while a round closes at least this share of the open nodes.
@@ -64,6 +64,11 @@ def prefix_length(n: int, percent: int) -> int:
     return unshared(n, percent) + shared_least(n, percent)
 
 
+def head_length(n: int, percent: int) -> int:
+    """Tokens among which a key prefix ends: those beyond the extended prefix are rare, and D + 1 rare ones suffice."""
+    return min(n, prefix_length(n, percent) + unshared(n, percent) + 1)
+
+
 def may_lack(n: int, percent: int) -> int:
     """Most tokens of a linked set's extended prefix that stand in no other prefix."""
     return prefix_length(n, percent) - shared_least(-(-percent * n // 100), percent) if n else 0
@@ -88,9 +93,9 @@ def _spoiled(n: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return n - s, m - s
 
 
-def key_prefix(frequent: np.ndarray, k: int, percent: int) -> tuple[int, bool]:
-    """Length of a set's key prefix, and whether the set wants runs. frequent: whether each token of the ordered set is."""
-    n = len(frequent)
+def key_prefix(frequent: np.ndarray, n: int, k: int, percent: int) -> tuple[int, bool]:
+    """Length of the key prefix of an ordered set of n, and whether the set wants runs. frequent: whether a token of its head is."""
+    size = len(frequent)
     rare = np.cumsum(~frequent)
     alone = int(np.searchsorted(rare, unshared(n, percent) + 1)) + 1  # from here on rare tokens suffice
     own, foreign = _spoiled(n, percent)
@@ -100,24 +105,24 @@ def key_prefix(frequent: np.ndarray, k: int, percent: int) -> tuple[int, bool]:
         reach = left >= 0
         return not reach.any() or int((k * left + (k - 1) * foreign)[reach].max()) < p - rare[p - 1] - k + 1
 
-    low, high = 1, n
+    low, high = 1, size
     while low < high:
         mid = (low + high) // 2
         low, high = (low, mid) if enough(mid) else (mid + 1, high)
-    return (alone, False) if alone <= min(n, 2 * low) else (low, True)
+    return (alone, False) if alone <= min(size, 2 * low) else (low, True)
 
 
-def keys_of(s: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rare tokens, runs that the set wants, runs that it offers): the keys of an ordered set."""
+def keys_of(head: np.ndarray, frequent: np.ndarray, n: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rare tokens, runs that the set wants, runs that it offers): the keys of an ordered set of n, from its head."""
     rare, runs = 0, {True: [], False: []}
-    for k in run_lengths(len(s), percent):
-        p, wants = key_prefix(frequent, k, percent)
+    for k in run_lengths(n, percent):
+        p, wants = key_prefix(frequent, n, k, percent)
         rare = max(rare, p)
-        often = s[:p][frequent[:p]]
+        often = head[:p][frequent[:p]]
         if len(often) >= k:
             runs[wants].append(shingles(often, k) ^ np.uint64(k))
     none = np.zeros(0, np.uint64)
-    return s[:rare][~frequent[:rare]], np.concatenate([none, *runs[True]]), np.concatenate([none, *runs[False]])
+    return head[:rare][~frequent[:rare]], np.concatenate([none, *runs[True]]), np.concatenate([none, *runs[False]])
 
 
 def token_set(words: list[bytes], hashed: WordHash, size: int) -> np.ndarray:
@@ -178,7 +183,7 @@ def link(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
 
 
 def survivors(docs: DataFrame, left: DataFrame, size: int, percent: int) -> DataFrame:
-    """node, n, tokens (bytes of the ordered set), prefix: of one document of each node that is left.
+    """node, n, tokens (bytes of the ordered set), head, lead (length of the extended prefix): of one document of each node left.
 
     Rows that share a doc_id can bring a node twice or a node that is not left; links are verified, so these do no harm.
     """
@@ -191,78 +196,85 @@ def survivors(docs: DataFrame, left: DataFrame, size: int, percent: int) -> Data
 
         def sets(block: dict) -> Iterator[dict]:
             found = [s for s in (token_set(lower_words(t), hashed, size) for t in block["text"]) if len(s)]
-            prefixes = [s[: prefix_length(len(s), percent)].view(np.int64) for s in found]
-            yield {"node": list(map(set_hash, found)), "n": list(map(len, found)), "tokens": [s.tobytes() for s in found], "prefix": prefixes}
+            sizes = list(map(len, found))
+            yield {"node": list(map(set_hash, found)), "n": sizes, "tokens": [s.tobytes() for s in found], "head": [s[: head_length(n, percent)].view(np.int64) for s, n in zip(found, sizes, strict=True)], "lead": [prefix_length(n, percent) for n in sizes]}
 
         return sets
 
-    return map_texts(chosen.unionByName(unnamed), make, "node long, n long, tokens binary, prefix array<long>")
+    return map_texts(chosen.unionByName(unnamed), make, "node long, n long, tokens binary, head array<long>, lead int")
 
 
 def keyed(sets: DataFrame, percent: int) -> DataFrame:
-    """node, key of every node and key that it shares with another node."""
-    tokens = stored(sets.select("node", F.posexplode("prefix").alias("pos", "token")))
+    """key, node, size, low of every node and key that it shares with another node; size and least node of the key."""
+    tokens = stored(sets.select("node", F.posexplode(F.slice("head", F.lit(1), F.col("lead"))).alias("pos", "token")))
     often = stored(tokens.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > FREQUENT).select("token"))
     places = tokens.join(often, "token").groupBy("node").agg(F.collect_set("pos").alias("often"))
 
-    def make_keys():
+    def make():
         def keys(block: dict) -> Iterator[dict]:
             out: dict[str, list] = {k: [] for k in ("rare", "wants", "offers")}
-            for t, often in zip(block["tokens"], block["often"], strict=True):
-                s = np.frombuffer(t, np.uint64)
-                frequent = np.zeros(len(s), bool)
+            for head, often, n in zip(block["head"], block["often"], block["n"], strict=True):
+                frequent = np.zeros(len(head), bool)
                 frequent[np.array(often or [], np.int64)] = True
-                for name, x in zip(out, keys_of(s, frequent, percent), strict=True):
+                for name, x in zip(out, keys_of(np.array(head, np.int64).view(np.uint64), frequent, n, percent), strict=True):
                     out[name].append(x.view(np.int64))
             yield out | {"node": block["node"]}
 
         return keys
 
-    found = stored(map_texts(sets.select("node", "tokens").join(places, "node", "left"), make_keys, "node long, rare array<long>, wants array<long>, offers array<long>"))
+    found = stored(map_texts(sets.select("node", "n", "head").join(places, "node", "left"), make, "node long, rare array<long>, wants array<long>, offers array<long>"))
     each = reduce(DataFrame.unionByName, (found.select("node", F.explode(c).alias("key"), F.lit(c != "offers").alias("wanted")) for c in ("rare", "wants", "offers")))
-    shared = stored(each.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("wanted").alias("wanted")).filter("low < high and wanted").select("key"))
+    least, most = F.min("node").alias("low"), F.max("node").alias("high")
+    shared = stored(each.groupBy("key").agg(least, most, F.max("wanted").alias("wanted"), F.count("*").alias("size")).filter("low < high and wanted").select("key", "size", "low"))
     return each.select("node", "key").join(shared, "key")
 
 
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """a, b: links that connect all linked nodes."""
-    open_, found, before, turn = stored(keyed(sets, percent)), [], None, 0
-    components_of = None
+    keys = stored(keyed(sets, percent))
+    found, known = dense(keys.filter(F.col("size") > BLOCK).select("node", "key"), sets, percent)
+    if known is None:
+        now, open_ = keys.withColumn("component", F.col("node")), keys.filter(F.col("size") > FEW)
+    else:
+        now = stored(keys.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        mixed = stored(now.filter(F.col("size") > FEW).groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d").select("key"))
+        open_ = keys.join(mixed, "key")
+    few = now.filter(F.col("size") <= FEW)
+    pairs = few.select("key", F.col("node").alias("rep"), F.col("component").alias("c")).join(few.select("key", "node", "component"), "key").filter("rep < node and c <> component").select("rep", "node").distinct()
+    edges = promising(pairs, sets, percent).select(F.col("rep").alias("a"), F.col("node").alias("b")).unionByName(open_.select(F.col("low").alias("a"), F.col("node").alias("b")).distinct())
+    family = components(edges).withColumnRenamed("component", "family")
+    nodes = family.withColumn("component", F.col("node")) if known is None else family.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    found.append(stored(compare(sets, crossings(stored(nodes)), percent)))
+    return reduce(DataFrame.unionByName, found)
+
+
+def dense(keys: DataFrame, sets: DataFrame, percent: int) -> tuple[list[DataFrame], DataFrame | None]:
+    """Links of the nodes of large keys with representatives, and the components (node, component) that they make."""
+    found, known, before, turn = [], None, None, 0
     while True:
         turn += 1
-        if components_of is None:
-            now = open_.withColumn("component", F.col("node"))
-        else:
-            now = open_.join(components_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        now = keys.withColumn("component", F.col("node")) if known is None else keys.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
         choice = F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("rep")
         reps = stored(now.groupBy("key").agg(choice, F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key", F.col("rep.node").alias("rep"), F.col("rep.component").alias("rep_component")))
         now = stored(now.join(reps, "key"))
         n = now.select("node").distinct().count()
         if not n or before is not None and n > (1 - WORTH) * before:
-            break
+            return found, known
         before = n
         asks = promising(now.filter("component <> rep_component").select("rep", "node").distinct(), sets, percent)
         found.append(stored(compare(sets, stars(stored(asks.groupBy("node").agg(F.max_by("rep", F.struct("shared", "rep")).alias("rep")))), percent)))
-        components_of = stored(components(reduce(DataFrame.unionByName, found)))
-        open_ = now.select("node", "key")
-    if n:
-        sizes = stored(now.groupBy("key").agg(F.count("*").alias("size")))
-        now = stored(now.select("node", "key", "component").join(sizes, "key"))
-        x = now.filter(F.col("size") <= FEW).select("key", F.col("node").alias("rep"), F.col("component").alias("c"))
-        pairs = x.join(now.filter(F.col("size") <= FEW), "key").filter("rep < node and c <> component").select("rep", "node").distinct()
-        found.append(stored(compare(sets, stars(stored(promising(pairs, sets, percent).select("rep", "node"))), percent)))
-        found.append(stored(compare(sets, crossings(now.filter(F.col("size") > FEW)), percent)))
-    return reduce(DataFrame.unionByName, found) if found else now.select(F.col("node").alias("a"), F.col("node").alias("b"))
+        known = stored(components(reduce(DataFrame.unionByName, found)))
+        keys = now.select("node", "key")
 
 
 def promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """rep, node, shared (tokens of both prefixes): the pairs whose sizes and extended prefixes allow a link.
+    """rep, node, shared (tokens of both heads): the pairs whose sizes and heads allow a link.
 
-    What a set shares with another beyond the prefix that ends first in the order is at most the rest of that set.
+    What a set shares with another beyond the head that ends first in the order is at most the rest of that set.
     """
-    of = lambda name, p: sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{p}"), F.col("prefix").alias(f"prefix_{p}"))
-    both = stored(pairs).join(of("rep", "x"), "rep").join(of("node", "y"), "node").withColumn("shared", F.size(F.array_intersect("prefix_x", "prefix_y")))
-    rest = F.greatest(F.col("n_x") - F.size("prefix_x"), F.col("n_y") - F.size("prefix_y"))
+    of = lambda name, p: sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{p}"), F.col("head").alias(f"head_{p}"))
+    both = stored(pairs).join(of("rep", "x"), "rep").join(of("node", "y"), "node").withColumn("shared", F.size(F.array_intersect("head_x", "head_y")))
+    rest = F.greatest(F.col("n_x") - F.size("head_x"), F.col("n_y") - F.size("head_y"))
     sizes = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent
     return both.filter(sizes & ((F.col("shared") + rest) * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent)).select("rep", "node", "shared").distinct()
 
@@ -275,15 +287,13 @@ def stars(asks: DataFrame) -> DataFrame:
     return right.unionByName(left)
 
 
-def crossings(now: DataFrame) -> DataFrame:
-    """Group (seven columns), side, node: every two nodes of different components that open keys connect meet in a group.
+def crossings(nodes: DataFrame) -> DataFrame:
+    """Group (seven columns), side, node: every two nodes (node, family, component) of a family and of different components
+    meet in a group.
 
     Components of BLOCK nodes or more are units of their own, whose nodes needn't meet each other; smaller ones share units of
     about BLOCK nodes. Each pair of blocks of two units is a group.
     """
-    low = stored(now.groupBy("key").agg(F.min("node").alias("low")))
-    family = components(now.join(low, "key").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()).select("node", F.col("component").alias("family"))
-    nodes = stored(now.select("node", "component").distinct().join(family, "node"))
     sizes = stored(nodes.groupBy("family", "component").agg(F.count("*").alias("size")))
     small = F.col("size") < BLOCK
     shared = sizes.filter(small).groupBy("family").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("units"))
