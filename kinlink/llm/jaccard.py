@@ -8,14 +8,14 @@ Tokens are the hashed word shingles of a text; documents of equal sets are one n
   so a node with fewer than T others (T of the least size that it can link with) has no link. Most documents end here, after
   one aggregation that combines equal tokens before the shuffle.
 * Token classes. Among the nodes left, a token of more than FREQUENT prefixes is frequent, any other is rare. Rare tokens
-  are index keys singly, frequent ones in combinations: runs of K that are neighbours among a set's frequent tokens. An
-  unshared token spoils one rare key or K runs, a foreign frequent one K - 1 runs; a set's key prefix is extended until
-  what a linked set can spoil is less than its keys. Where rare tokens alone suffice, the set wants no runs; it offers them
+  are index keys singly, frequent ones in combinations: runs of K that are neighbours in the order. A set's key prefix is
+  extended until it has D + 1 rare tokens, of which a linked set has one, or so many tokens that unshared ones (each spoils
+  K runs) and foreign ones (each spoils K - 1) can't spoil all keys. In the first case the set wants no runs; it offers them
   to sets that do, and a run that no set wants is no key.
 * Verification. Nodes that share a key are candidates. Where more than BLOCK nodes share one, each is first compared with
-  one representative, that which it shares most of its head with; keys whose nodes are not all in one component yet stay
+  one representative, that which it shares most of its prefix with; keys whose nodes are not all in one component yet stay
   open, and this is repeated while it closes much. So a dense family takes a number of comparisons that is linear in its
-  size. The nodes of a key of up to FEW are paired where sizes and heads allow a link, those of a larger open key make a
+  size. The nodes of a key of up to FEW are paired where sizes and extended prefixes allow a link, those of a larger open key make a
   chain; what pairs and chains connect is a family, within which every two nodes of different components are compared, in
   pairs of blocks of bounded size. All comparisons count the intersection exactly; components follow from the links.
 
@@ -64,11 +64,6 @@ def prefix_length(n: int, percent: int) -> int:
     return unshared(n, percent) + shared_least(n, percent)
 
 
-def head_length(n: int, percent: int) -> int:
-    """Tokens among which a key prefix ends: those beyond the extended prefix are rare, and D + 1 rare ones suffice."""
-    return min(n, prefix_length(n, percent) + unshared(n, percent) + 1)
-
-
 def may_lack(n: int, percent: int) -> int:
     """Most tokens of a linked set's extended prefix that stand in no other prefix."""
     return prefix_length(n, percent) - shared_least(-(-percent * n // 100), percent) if n else 0
@@ -85,42 +80,30 @@ def run_lengths(n: int, percent: int) -> tuple[int, ...]:
     return tuple(sorted({k for k, has in ((min(2, high), -(-percent * n // 100) < border), (high, n >= border)) if has}))
 
 
-@lru_cache(4096)
-def _spoiled(n: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each size that a set of n can link with: how many tokens of either are unshared at most."""
+@lru_cache(100_000)
+def long_prefix(n: int, k: int, percent: int) -> int:
+    """Length of a key prefix of a set of n in which all runs of k and all rare tokens can't be spoilt."""
     m = np.arange(-(-percent * n // 100), 100 * n // percent + 1)
     s = -(-percent * (n + m) // (100 + percent))
-    return n - s, m - s
+    return min(n, int((k * (n - s) + (k - 1) * (m - s)).max()) + k)
 
 
-def key_prefix(frequent: np.ndarray, n: int, k: int, percent: int) -> tuple[int, bool]:
-    """Length of the key prefix of an ordered set of n, and whether the set wants runs. frequent: whether a token of its head is."""
-    size = len(frequent)
-    rare = np.cumsum(~frequent)
-    alone = int(np.searchsorted(rare, unshared(n, percent) + 1)) + 1  # from here on rare tokens suffice
-    own, foreign = _spoiled(n, percent)
-
-    def enough(p: int) -> bool:
-        left = own - rare[p - 1]
-        reach = left >= 0
-        return not reach.any() or int((k * left + (k - 1) * foreign)[reach].max()) < p - rare[p - 1] - k + 1
-
-    low, high = 1, size
-    while low < high:
-        mid = (low + high) // 2
-        low, high = (low, mid) if enough(mid) else (mid + 1, high)
-    return (alone, False) if alone <= min(size, 2 * low) else (low, True)
+def head_length(n: int, percent: int) -> int:
+    """The tokens among which key prefixes and extended prefixes end."""
+    return max([prefix_length(n, percent), *(long_prefix(n, k, percent) for k in run_lengths(n, percent))])
 
 
 def keys_of(head: np.ndarray, frequent: np.ndarray, n: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rare tokens, runs that the set wants, runs that it offers): the keys of an ordered set of n, from its head."""
     rare, runs = 0, {True: [], False: []}
+    enough = int(np.searchsorted(np.cumsum(~frequent), unshared(n, percent) + 1)) + 1
     for k in run_lengths(n, percent):
-        p, wants = key_prefix(frequent, n, k, percent)
+        most = long_prefix(n, k, percent)
+        p = min(enough, most)
         rare = max(rare, p)
-        often = head[:p][frequent[:p]]
-        if len(often) >= k:
-            runs[wants].append(shingles(often, k) ^ np.uint64(k))
+        whole = np.lib.stride_tricks.sliding_window_view(frequent[:p], k).all(1) if p >= k else np.zeros(0, bool)
+        if whole.any():
+            runs[enough > most].append(shingles(head[:p], k)[whole] ^ np.uint64(k))
     none = np.zeros(0, np.uint64)
     return head[:rare][~frequent[:rare]], np.concatenate([none, *runs[True]]), np.concatenate([none, *runs[False]])
 
@@ -183,7 +166,7 @@ def link(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
 
 
 def survivors(docs: DataFrame, left: DataFrame, size: int, percent: int) -> DataFrame:
-    """node, n, tokens (bytes of the ordered set), head, lead (length of the extended prefix): of one document of each node left.
+    """node, n, lead (length of the extended prefix), head and rest of the ordered set: of one document of each node left.
 
     Rows that share a doc_id can bring a node twice or a node that is not left; links are verified, so these do no harm.
     """
@@ -197,16 +180,17 @@ def survivors(docs: DataFrame, left: DataFrame, size: int, percent: int) -> Data
         def sets(block: dict) -> Iterator[dict]:
             found = [s for s in (token_set(lower_words(t), hashed, size) for t in block["text"]) if len(s)]
             sizes = list(map(len, found))
-            yield {"node": list(map(set_hash, found)), "n": sizes, "tokens": [s.tobytes() for s in found], "head": [s[: head_length(n, percent)].view(np.int64) for s, n in zip(found, sizes, strict=True)], "lead": [prefix_length(n, percent) for n in sizes]}
+            cuts = [head_length(n, percent) for n in sizes]
+            yield {"node": list(map(set_hash, found)), "n": sizes, "lead": [prefix_length(n, percent) for n in sizes], "head": [s[:k].view(np.int64) for s, k in zip(found, cuts, strict=True)], "rest": [s[k:].tobytes() for s, k in zip(found, cuts, strict=True)]}
 
         return sets
 
-    return map_texts(chosen.unionByName(unnamed), make, "node long, n long, tokens binary, head array<long>, lead int")
+    return map_texts(chosen.unionByName(unnamed), make, "node long, n long, lead int, head array<long>, rest binary")
 
 
 def keyed(sets: DataFrame, percent: int) -> DataFrame:
     """key, node, size, low of every node and key that it shares with another node; size and least node of the key."""
-    tokens = stored(sets.select("node", F.posexplode(F.slice("head", F.lit(1), F.col("lead"))).alias("pos", "token")))
+    tokens = stored(sets.select("node", F.posexplode("head").alias("pos", "token")))
     often = stored(tokens.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > FREQUENT).select("token"))
     places = tokens.join(often, "token").groupBy("node").agg(F.collect_set("pos").alias("often"))
 
@@ -268,11 +252,11 @@ def dense(keys: DataFrame, sets: DataFrame, percent: int) -> tuple[list[DataFram
 
 
 def promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """rep, node, shared (tokens of both heads): the pairs whose sizes and heads allow a link.
+    """rep, node, shared (tokens of both extended prefixes): the pairs whose sizes and prefixes allow a link.
 
-    What a set shares with another beyond the head that ends first in the order is at most the rest of that set.
+    What a set shares with another beyond the prefix that ends first in the order is at most the rest of that set.
     """
-    of = lambda name, p: sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{p}"), F.col("head").alias(f"head_{p}"))
+    of = lambda name, p: sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{p}"), F.slice("head", F.lit(1), F.col("lead")).alias(f"head_{p}"))
     both = stored(pairs).join(of("rep", "x"), "rep").join(of("node", "y"), "node").withColumn("shared", F.size(F.array_intersect("head_x", "head_y")))
     rest = F.greatest(F.col("n_x") - F.size("head_x"), F.col("n_y") - F.size("head_y"))
     sizes = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent
@@ -313,14 +297,15 @@ def crossings(nodes: DataFrame) -> DataFrame:
 
 def compare(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """a, b: for each group a spanning forest of the links between its sides (or within its only side)."""
-    rows = sets.select("node", "tokens").join(stored(groups), "node")
+    rows = sets.select("node", "head", "rest").join(stored(groups), "node")
     group = [c for c in groups.columns if c not in ("node", "side")]
 
     def linked(pdf):
         import pandas as pd
 
         nodes, side = pdf["node"].to_numpy(), pdf["side"].to_numpy()
-        pairs = link_sets([np.frombuffer(t, np.uint64) for t in pdf["tokens"]], percent, side)
+        parts = [np.concatenate([np.array(h, np.int64).view(np.uint64), np.frombuffer(r, np.uint64)]) for h, r in zip(pdf["head"], pdf["rest"], strict=True)]
+        pairs = link_sets(parts, percent, side)
         return pd.DataFrame({"a": [nodes[a] for a, _ in pairs], "b": [nodes[b] for _, b in pairs]}, dtype="int64")
 
     return rows.groupBy(*group).applyInPandas(linked, "a long, b long")

@@ -82,9 +82,7 @@ def test_keys_are_shared():
             for v in (x, y):
                 h = mix(v.astype(np.uint64))
                 order = np.argsort(h)[: jaccard.head_length(len(v), percent)]
-                marks = often[v[order]]
-                marks[jaccard.prefix_length(len(v), percent) :] = False
-                keys.append([set(k.tolist()) for k in jaccard.keys_of(h[order], marks, len(v), percent)])
+                keys.append([set(k.tolist()) for k in jaccard.keys_of(h[order], often[v[order]], len(v), percent)])
             (r1, w1, o1), (r2, w2, o2) = keys
             assert r1 & r2 or w1 & (w2 | o2) or w2 & o1, (percent, n, m, s)
 
