@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -55,6 +55,24 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Bits of the map that likely() uses, whatever the size of its input.
+MAP_BITS = 1 << 24
+
+
+def likely(df: DataFrame, key: Column, among: DataFrame, name: str) -> DataFrame:
+    """df with the boolean column `name`: false only where the key (long) is none of the keys in `among` (column key).
+
+    The keys of `among` set bits in a map of a fixed size (at most MAP_BITS / 64 rows), which is broadcast; so rows that can't
+    meet a key need not be dealt.
+    """
+    place = lambda k: F.pmod(F.xxhash64(k), F.lit(MAP_BITS))
+    word, bit = (lambda k: F.shiftright(place(k), 6)), (lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), (place(k) % 64).cast("int")))
+    w, b = fresh(df, "word"), fresh(df, "bits")
+    words = among.select(word(F.col("key")).alias(w), bit(F.col("key")).alias("bit")).groupBy(w).agg(F.bit_or("bit").alias(b))
+    found = df.withColumn(w, word(key)).join(F.broadcast(words), w, "left")
+    return found.withColumn(name, F.coalesce(F.col(b).bitwiseAND(bit(key)) != 0, F.lit(False))).drop(w, b)
+
+
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write a frame as Parquet (in the shared folder if no path is given) and read it back."""
     path = path or f"{shared_folder(df.sparkSession)}/kinlink-{uuid.uuid4().hex}"

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, components, cut, documents, fresh, lower_words, map_texts, shingles, stored
+from .common import WordHash, components, cut, documents, fresh, likely, lower_words, map_texts, shingles, stored
 
 #: Nodes in a block of a comparison.
 BLOCK = 96
@@ -170,8 +170,9 @@ def survivors(docs: DataFrame, left: DataFrame, size: int, percent: int) -> Data
 
     Rows that share a doc_id can bring a node twice or a node that is not left; links are verified, so these do no harm.
     """
-    named = left.filter("first_id is not null").select(F.col("first_id").alias("doc_id")).distinct()
-    chosen = documents(docs).join(named, "doc_id", "left_semi")
+    named = stored(left.filter("first_id is not null").select(F.col("first_id").alias("doc_id")).distinct())
+    # few texts are dealt: those whose id the map doesn't rule out
+    chosen = likely(documents(docs), F.col("doc_id"), named.select(F.col("doc_id").alias("key")), "can").filter("can").drop("can").join(named, "doc_id", "left_semi")
     unnamed = documents(docs).filter("doc_id is null")  # rows without an id can't be found by it
 
     def make():
@@ -355,13 +356,18 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     Rows that agree in doc_id and text are one document, and one of them stays; different texts under one doc_id are different
     documents. Null ids come last. Texts without words all stay.
     """
-    found = stored(grouped(docs, size, percent))
-    last = F.lit((1 << 63) - 1)
-    first = F.min(F.struct(F.coalesce("doc_id", last).alias("id"), "row")).alias("first")
-    stay = stored(found.filter("component is not null").groupBy("component").agg(first).select("first.id", "first.row"))
-    a, b = fresh(docs, "id"), fresh(docs, "row")
-    text = F.coalesce("text", F.lit(""))
-    named = docs.withColumns({a: F.coalesce(F.col("doc_id").cast("long"), last), b: F.xxhash64(F.col("doc_id").cast("long"), text)})
+    last, text = F.lit((1 << 63) - 1), F.coalesce("text", F.lit(""))
+    found = grouped(docs, size, percent).filter("component is not null")
+    rows = stored(found.groupBy("component", F.coalesce("doc_id", last).alias("id"), "row").agg(F.count("*").alias("times")))
+    first = stored(rows.groupBy("component").agg(F.min(F.struct("id", "row")).alias("first")))
+    stays = F.col("first") == F.struct("id", "row")
+    # most documents are alone in their group: they stay without being dealt
+    others = stored(rows.join(first, "component").withColumn("stays", stays).filter(~F.col("stays") | (F.col("times") > 1)).select("id", "row", "stays"))
+    a, b, c, d = (fresh(docs, name) for name in ("id", "row", "stays", "can"))
     worded = text.rlike(r"[^\x20\x09-\x0D]")
-    kept = named.filter(worded).join(stay.select(F.col("id").alias(a), F.col("row").alias(b)), [a, b], "left_semi").dropDuplicates([a, b])
-    return kept.unionByName(named.filter(~worded)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    named = docs.withColumns({a: F.coalesce(F.col("doc_id").cast("long"), last), b: F.xxhash64(F.col("doc_id").cast("long"), text)})
+    named = likely(named, F.col(b), others.select(F.col("row").alias("key")), d).withColumn(d, F.col(d) & worded)
+    judged = named.filter(d).join(others.select(F.col("id").alias(a), F.col("row").alias(b), F.col("stays").alias(c)), [a, b], "left")
+    kept = judged.filter(F.coalesce(c, F.lit(True))).dropDuplicates([a, b])
+    columns = [F.col(f"`{x}`") for x in docs.columns]
+    return kept.select(*columns).unionByName(named.filter(~F.col(d)).select(*columns))
