@@ -190,10 +190,10 @@ def survivors(docs: DataFrame, left: DataFrame, size: int, percent: int) -> Data
 
 
 def keyed(sets: DataFrame, percent: int) -> DataFrame:
-    """key, node, size, low of every node and key that it shares with another node; size and least node of the key."""
+    """key, node, n, size, low of every node and key that it shares with another node; size and least node of the key."""
     tokens = stored(sets.select("node", F.posexplode("head").alias("pos", "token")))
     often = stored(tokens.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > FREQUENT).select("token"))
-    places = tokens.join(often, "token").groupBy("node").agg(F.collect_set("pos").alias("often"))
+    places = likely(tokens, F.col("token"), often.select(F.col("token").alias("key")), "can").filter("can").join(often, "token").groupBy("node").agg(F.collect_set("pos").alias("often"))
 
     def make():
         def keys(block: dict) -> Iterator[dict]:
@@ -203,15 +203,15 @@ def keyed(sets: DataFrame, percent: int) -> DataFrame:
                 frequent[np.array(often or [], np.int64)] = True
                 for name, x in zip(out, keys_of(np.array(head, np.int64).view(np.uint64), frequent, n, percent), strict=True):
                     out[name].append(x.view(np.int64))
-            yield out | {"node": block["node"]}
+            yield out | {"node": block["node"], "n": block["n"]}
 
         return keys
 
-    found = stored(map_texts(sets.select("node", "n", "head").join(places, "node", "left"), make, "node long, rare array<long>, wants array<long>, offers array<long>"))
-    each = reduce(DataFrame.unionByName, (found.select("node", F.explode(c).alias("key"), F.lit(c != "offers").alias("wanted")) for c in ("rare", "wants", "offers")))
+    found = stored(map_texts(sets.select("node", "n", "head").join(places, "node", "left"), make, "node long, n long, rare array<long>, wants array<long>, offers array<long>"))
+    each = reduce(DataFrame.unionByName, (found.select("node", "n", F.explode(c).alias("key"), F.lit(c != "offers").alias("wanted")) for c in ("rare", "wants", "offers")))
     least, most = F.min("node").alias("low"), F.max("node").alias("high")
     shared = stored(each.groupBy("key").agg(least, most, F.max("wanted").alias("wanted"), F.count("*").alias("size")).filter("low < high and wanted").select("key", "size", "low"))
-    return each.select("node", "key").join(shared, "key")
+    return each.select("node", "n", "key").join(shared, "key")
 
 
 def links(sets: DataFrame, percent: int) -> DataFrame:
@@ -225,7 +225,8 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
         mixed = stored(now.filter(F.col("size") > FEW).groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d").select("key"))
         open_ = keys.join(mixed, "key")
     few = now.filter(F.col("size") <= FEW)
-    pairs = few.select("key", F.col("node").alias("rep"), F.col("component").alias("c")).join(few.select("key", "node", "component"), "key").filter("rep < node and c <> component").select("rep", "node").distinct()
+    alike = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    pairs = few.select("key", F.col("node").alias("rep"), F.col("n").alias("m"), F.col("component").alias("c")).join(few.select("key", "node", "n", "component"), "key").filter(F.expr("rep < node and c <> component") & alike).select("rep", "node").distinct()
     edges = promising(pairs, sets, percent).select(F.col("rep").alias("a"), F.col("node").alias("b")).unionByName(open_.select(F.col("low").alias("a"), F.col("node").alias("b")).distinct())
     family = components(edges).withColumnRenamed("component", "family")
     nodes = family.withColumn("component", F.col("node")) if known is None else family.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -257,8 +258,15 @@ def promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     What a set shares with another beyond the prefix that ends first in the order is at most the rest of that set.
     """
-    of = lambda name, p: sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{p}"), F.slice("head", F.lit(1), F.col("lead")).alias(f"head_{p}"))
-    both = stored(pairs).join(of("rep", "x"), "rep").join(of("node", "y"), "node").withColumn("shared", F.size(F.array_intersect("head_x", "head_y")))
+    pairs = stored(pairs)
+
+    def of(name: str, p: str) -> DataFrame:
+        can = likely(sets, F.col("node"), pairs.select(F.col(name).alias("key")), "can").filter("can")
+        # half of each token is enough to tell; where halves meet in a set, more may be shared than are seen
+        return can.select(F.col("node").alias(name), F.col("n").alias(f"n_{p}"), F.transform(F.slice("head", F.lit(1), F.col("lead")), lambda t: t.bitwiseAND(0x7FFFFFFF).cast("int")).alias(f"head_{p}"))
+
+    both = pairs.join(of("rep", "x"), "rep").join(of("node", "y"), "node")
+    both = both.withColumn("shared", F.size(F.array_intersect("head_x", "head_y")) + F.size("head_x") - F.size(F.array_distinct("head_x")))
     rest = F.greatest(F.col("n_x") - F.size("head_x"), F.col("n_y") - F.size("head_y"))
     sizes = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent
     return both.filter(sizes & ((F.col("shared") + rest) * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent)).select("rep", "node", "shared").distinct()
@@ -298,7 +306,8 @@ def crossings(nodes: DataFrame) -> DataFrame:
 
 def compare(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """a, b: for each group a spanning forest of the links between its sides (or within its only side)."""
-    rows = sets.select("node", "head", "rest").join(stored(groups), "node")
+    groups = stored(groups)
+    rows = likely(sets.select("node", "head", "rest"), F.col("node"), groups.select(F.col("node").alias("key")), "can").filter("can").drop("can").join(groups, "node")
     group = [c for c in groups.columns if c not in ("node", "side")]
 
     def linked(pdf):
