@@ -80,6 +80,15 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a frame's files, written by stored(), once all that reads them is written itself."""
+    spark = df.sparkSession
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if path.startswith(shared_folder(spark)) or "/kinlink-" in path:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def lower_words(text: str) -> list[bytes]:
     """Words between blanks (0x20, 0x09-0x0D), A-Z lower-cased."""
     return text.encode().translate(LOWER).split()

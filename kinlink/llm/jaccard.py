@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, components, cut, documents, fresh, likely, lower_words, map_texts, shingles, stored
+from .common import WordHash, components, cut, discard, documents, fresh, likely, lower_words, map_texts, shingles, stored
 
 #: Nodes in a block of a comparison.
 BLOCK = 96
@@ -44,7 +44,7 @@ FREQUENT = 4
 #: A key of more nodes than this makes no pair rows.
 FEW = 8
 #: Longest run of frequent tokens that is a key.
-LONGEST_RUN = 6
+LONGEST_RUN = 4
 #: Representatives are chosen anew while a round closes at least this share of the open nodes.
 WORTH = 0.25
 
@@ -140,18 +140,20 @@ def nodes_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """row, doc_id, n, node, component (a node) of every row; node and component are null without shingles."""
-    rows = stored(nodes_of(docs, size, percent))
-    full = rows.filter("node is not null")
+    made = stored(nodes_of(docs, size, percent))
+    full = made.filter("node is not null")
     nodes = full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("may_lack").alias("may_lack"))
 
     tokens = full.select("node", F.explode("prefix").alias("token"))
     alone = tokens.groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other").groupBy("node").agg(F.count("*").alias("lacks"))
     left = cut(nodes.join(alone, "node", "left").filter(F.coalesce("lacks", F.lit(0)) <= F.col("may_lack")).select("node", "first_id"))
 
+    rows = stored(made.select("row", "doc_id", "n", "node"))
+    discard(made)  # the prefixes have done their work
     sets = stored(survivors(docs, left, size, percent))
     found = stored(links(sets, percent))
+    discard(sets)
     groups = stored(components(found))
-    rows = rows.select("row", "doc_id", "n", "node")
     joined = rows.filter("node is not null").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     return joined.unionByName(rows.filter("node is null").withColumn("component", F.lit(None).cast("long")))
 
@@ -191,7 +193,7 @@ def survivors(docs: DataFrame, left: DataFrame, size: int, percent: int) -> Data
 
 def keyed(sets: DataFrame, percent: int) -> DataFrame:
     """key, node, n, size, low of every node and key that it shares with another node; size and least node of the key."""
-    tokens = stored(sets.select("node", F.posexplode("head").alias("pos", "token")))
+    tokens = sets.select("node", F.posexplode("head").alias("pos", "token"))
     often = stored(tokens.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > FREQUENT).select("token"))
     places = likely(tokens, F.col("token"), often.select(F.col("token").alias("key")), "can").filter("can").join(often, "token").groupBy("node").agg(F.collect_set("pos").alias("often"))
 
