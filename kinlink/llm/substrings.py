@@ -3,14 +3,16 @@
 A window is LEAST consecutive words. A word goes if a window that covers it also starts in a document with a smaller
 doc_id. Each window has an anchor, the least hash of its GRAM-word runs, so equal windows have equal anchors; a document is
 its runs of windows that share an anchor ("contexts", of bounded length). Contexts whose anchor stands in one document
-alone repeat nothing. Equal contexts are one; an anchor with a single context needs no more than its smallest document.
+alone repeat nothing. Equal contexts are one; an anchor with a single context is a shard of one string, each of whose windows
+first stands in that string's smallest document, so no automaton need be built to read this off.
 The other contexts of an anchor are a reference shard: their suffix automaton is built in the order of doc_id, and each
 context is streamed through it. The state that holds the last LEAST words tells where these first occurred, which is the
 smallest document with that window; spans of such windows are removed.
 
 A shard has at most SHARD contexts. Windows of an anchor that has more are dealt by their own hash and combined before the
 shuffle, which gives the same smallest documents for any number of copies (an automaton can't be dealt out further).
-Texts are dealt once, those that hold repeated anchors once more.
+Rows are judged by a hash of doc_id and text, windows of such anchors and contexts by 64-bit hashes: n of them hold a false
+pair with odds of n * n / 2 ** 65 (below 1e-5 up to 10 ** 7 windows of one anchor; a context meets those of its anchor alone).
 
 Edge cases: null texts have no words; a null doc_id counts as the largest; rows that share a doc_id are judged alone and
 don't repeat each other; fewer than LEAST words are no window; an empty table gives no rows. Words are told apart by 64-bit
@@ -32,7 +34,8 @@ from pyspark.sql.types import StructType
 from .common import WordHash, documents, map_texts, mix, plain_words, stored
 
 LEAST, GRAM = 50, 16
-SHARD = 16
+#: Most contexts of a reference shard: some 20,000 words, an automaton of about 10 MB.
+SHARD = 256
 LAST = (1 << 63) - 1
 RUN = "anchor:long,ctx:long,start:int,n:int"
 
@@ -239,14 +242,16 @@ def dedup(docs: DataFrame) -> DataFrame:
     order = F.coalesce("doc_id", F.lit(LAST)).alias("o")
     whole = stored(runs_of(numbered))
     each = whole.select("row", order, F.inline("runs"))
-    repeated = each.groupBy("anchor").agg(F.min("o").alias("low"), F.max("o").alias("high")).filter("low < high").select("anchor")
-    hits = stored(each.join(repeated, "anchor").distinct())
+    # keys that many documents share are joined between two stored tables, whose large partitions Spark can split
+    repeated = stored(each.groupBy("anchor").agg(F.min("o").alias("low"), F.max("o").alias("high")).filter("low < high").select("anchor"))
+    hits = stored(each.join(repeated, "anchor"))
 
-    same = hits.groupBy("anchor", "ctx").agg(F.min(F.struct("o", "row", "start")).alias("rep"))
-    ways = same.groupBy("anchor").agg(F.count("*").alias("ways"))
-    judged = stored(hits.join(same, ["anchor", "ctx"]).join(ways, "anchor").withColumn("is_rep", (F.col("rep.row") == F.col("row")) & (F.col("rep.start") == F.col("start"))).withColumn("own", F.col("rep.o")).drop("rep"))
+    same = stored(hits.groupBy("anchor", "ctx").agg(F.min(F.struct("o", "row", "start", "n")).alias("rep")))
+    ways = stored(same.groupBy("anchor").agg(F.count("*").alias("ways")))
+    reps = stored(same.join(ways, "anchor").select("anchor", "ctx", "rep.*", "ways"))
 
-    suspects = judged.groupBy("row").agg(F.collect_list(F.when(F.col("is_rep") & (F.col("ways") > 1), F.struct("anchor", "ctx", "start", "n", "own", "ways"))).alias("reps"))
+    asked = reps.filter("ways > 1").groupBy("row").agg(F.collect_list(F.struct("anchor", "ctx", "start", "n", F.col("o").alias("own"), "ways")).alias("reps"))
+    suspects = stored(hits.select("row").distinct().join(asked, "row", "left"))
     texts = stored(numbered.select("row", "text").join(suspects, "row").dropDuplicates(["row"]))
 
     def make():
@@ -271,17 +276,19 @@ def dedup(docs: DataFrame) -> DataFrame:
 
         return contents
 
-    mixed = stored(map_texts(texts.filter(F.size("reps") > 0), make, "anchor long, ctx long, o long, ways long, words binary, windows array<long>"))
+    mixed = stored(map_texts(texts.filter("reps is not null"), make, "anchor long, ctx long, o long, ways long, words binary, windows array<long>"))
     shards = all_owners(mixed.filter(F.col("ways") <= SHARD))
-    dealt = mixed.filter(F.col("ways") > SHARD).select("anchor", "ctx", "o", F.posexplode("windows").alias("i", "w"))
-    first = dealt.groupBy("w").agg(F.min("o").alias("low"))
-    others = dealt.join(first, "w").groupBy("anchor", "ctx").agg(F.array_sort(F.collect_list(F.struct("i", "low"))).alias("x")).select("anchor", "ctx", F.col("x.low").alias("low"))
+    dealt = stored(mixed.filter(F.col("ways") > SHARD).select("anchor", "ctx", "o", F.posexplode("windows").alias("i", "w")))
+    first = stored(dealt.groupBy("w").agg(F.min("o").alias("low")))
+    lows = stored(dealt.join(first, "w").select("anchor", "ctx", "i", "low"))
+    others = lows.groupBy("anchor", "ctx").agg(F.array_sort(F.collect_list(F.struct("i", "low"))).alias("x")).select("anchor", "ctx", F.col("x.low").alias("low"))
     owners = stored(shards.unionByName(others))
+    judged = stored(reps.select("anchor", "ctx", "ways", F.col("o").alias("own")).join(owners, ["anchor", "ctx"], "left"))
 
-    found = judged.join(owners, ["anchor", "ctx"], "left")
+    found = hits.join(judged, ["anchor", "ctx"])
     low = F.when(F.col("ways") > 1, F.col("low")).otherwise(F.array_repeat("own", F.col("n")))
     bad = F.filter(F.transform(low, lambda x, i: F.when(x < F.col("o"), F.col("start") + i)), lambda x: x.isNotNull())
-    starts = found.select("row", bad.alias("bad")).filter(F.size("bad") > 0).groupBy("row").agg(F.flatten(F.collect_list("bad")).alias("bad"))
+    starts = found.select("row", bad.alias("bad")).filter(F.size("bad") > 0).groupBy("row").agg(F.flatten(F.collect_set("bad")).alias("bad"))
 
     def make_kept():
         def kept(block: dict) -> Iterator[dict]:
