@@ -9,8 +9,9 @@ The other contexts of an anchor are a reference shard: their suffix automaton is
 context is streamed through it. The state that holds the last LEAST words tells where these first occurred, which is the
 smallest document with that window; spans of such windows are removed.
 
-A shard has at most SHARD contexts. Windows of an anchor that has more are dealt by their own hash and combined before the
-shuffle, which gives the same smallest documents for any number of copies (an automaton can't be dealt out further).
+A shard has at most SHARD contexts. Those of an anchor that has more are cut again, by the least hash of a window's other
+runs, into runs with two anchors, which are shards in the same way. Only what still has more than SHARD contexts goes by the
+windows' own hashes, combined before the shuffle, which gives the same smallest documents for any number of copies.
 Rows are judged by a hash of doc_id and text, windows of such anchors and contexts by 64-bit hashes: n of them hold a false
 pair with odds of n * n / 2 ** 65 (below 1e-5 up to 10 ** 7 windows of one anchor; a context meets those of its anchor alone).
 
@@ -122,6 +123,21 @@ def contexts(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return grams[at[start]].view(np.int64), content.view(np.int64), start, size
 
 
+def split_runs(h: np.ndarray, start: int, n: int) -> list[tuple[int, int, int, int]]:
+    """The n windows from `start` on, which share an anchor: (second anchor, content hash, first window, number) of their runs
+    by the least other hash."""
+    words = h[start : start + n + LEAST - 1]
+    grams = mix(rolling(words, GRAM))
+    first = int(sliding_argmin(grams, LEAST - GRAM + 1)[0])
+    other = np.where(grams == grams[first], np.uint64((1 << 64) - 1), grams)
+    at = sliding_argmin(other, LEAST - GRAM + 1)
+    begin = np.flatnonzero(np.append(True, np.diff(at) != 0))
+    size = np.diff(np.append(begin, n))
+    content = span_hashes(words, begin, begin + size + LEAST - 1)
+    second = mix(other[at[begin]] ^ grams[first])
+    return list(zip(second.view(np.int64).tolist(), content.view(np.int64).tolist(), begin.tolist(), size.tolist(), strict=True))
+
+
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
@@ -235,6 +251,21 @@ def all_owners(mixed: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, kind)
 
 
+def by_windows(rows: DataFrame) -> DataFrame:
+    """anchor, ctx, low as all_owners has them, by the hashes of the windows."""
+
+    def make():
+        def windows(block: dict) -> Iterator[dict]:
+            yield {k: block[k] for k in ("anchor", "ctx", "o")} | {"windows": [rolling(np.frombuffer(w, np.uint64), LEAST).view(np.int64) for w in block["words"]]}
+
+        return windows
+
+    dealt = stored(map_texts(rows, make, "anchor long, ctx long, o long, windows array<long>").select("anchor", "ctx", "o", F.posexplode("windows").alias("i", "w")))
+    first = stored(dealt.groupBy("w").agg(F.min("o").alias("low")))
+    lows = stored(dealt.join(first, "w").select("anchor", "ctx", "i", "low"))
+    return lows.groupBy("anchor", "ctx").agg(F.array_sort(F.collect_list(F.struct("i", "low"))).alias("x")).select("anchor", "ctx", F.col("x.low").alias("low"))
+
+
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept (text of the kept words where some are removed, else null)."""
     # equal rows share a number, are judged once, and each gets the result
@@ -258,30 +289,28 @@ def dedup(docs: DataFrame) -> DataFrame:
         hashed = WordHash()
 
         def contents(block: dict) -> Iterator[dict]:
-            out: dict[str, list] = {k: [] for k in ("anchor", "ctx", "o", "ways", "words", "windows")}
+            out: dict[str, list] = {k: [] for k in ("anchor", "ctx", "o", "part", "of_anchor", "of_ctx", "words")}
             for text, reps in zip(block["text"], block["reps"], strict=True):
-                if not reps:
-                    continue
                 h = hashed.of(plain_words(text))
-                w = rolling(h, LEAST).view(np.int64)
                 for r in reps:
-                    hot = r["ways"] > SHARD
-                    out["anchor"].append(r["anchor"])
-                    out["ctx"].append(r["ctx"])
-                    out["o"].append(r["own"])
-                    out["ways"].append(r["ways"])
-                    out["words"].append(None if hot else h[r["start"] : r["start"] + r["n"] + LEAST - 1].tobytes())
-                    out["windows"].append(w[r["start"] : r["start"] + r["n"]] if hot else None)
+                    whole = [(r["anchor"], r["ctx"], 0, r["n"])]
+                    for anchor, ctx, i, n in split_runs(h, r["start"], r["n"]) if r["ways"] > SHARD else whole:
+                        hot, at = r["ways"] > SHARD, r["start"] + i
+                        for k, v in zip(out, (anchor, ctx, r["own"], i if hot else None, r["anchor"], r["ctx"], h[at : at + n + LEAST - 1].tobytes()), strict=True):
+                            out[k].append(v)
             yield out
 
         return contents
 
-    mixed = stored(map_texts(texts.filter("reps is not null"), make, "anchor long, ctx long, o long, ways long, words binary, windows array<long>"))
-    shards = all_owners(mixed.filter(F.col("ways") <= SHARD))
-    dealt = stored(mixed.filter(F.col("ways") > SHARD).select("anchor", "ctx", "o", F.posexplode("windows").alias("i", "w")))
-    first = stored(dealt.groupBy("w").agg(F.min("o").alias("low")))
-    lows = stored(dealt.join(first, "w").select("anchor", "ctx", "i", "low"))
-    others = lows.groupBy("anchor", "ctx").agg(F.array_sort(F.collect_list(F.struct("i", "low"))).alias("x")).select("anchor", "ctx", F.col("x.low").alias("low"))
+    mixed = stored(map_texts(texts.filter("reps is not null"), make, "anchor long, ctx long, o long, part int, of_anchor long, of_ctx long, words binary"))
+    shards = all_owners(mixed.filter("part is null"))
+    parts = mixed.filter("part is not null")
+    again = stored(parts.groupBy("anchor", "ctx").agg(F.min("o").alias("o"), F.min("words").alias("words")))
+    ways = stored(again.groupBy("anchor").agg(F.count("*").alias("ways")))
+    again = stored(again.join(ways, "anchor"))
+    lows = stored(all_owners(again.filter(F.col("ways") <= SHARD)).unionByName(by_windows(again.filter(F.col("ways") > SHARD))))
+    found = stored(parts.select("anchor", "ctx", "part", "of_anchor", "of_ctx").join(lows, ["anchor", "ctx"]))
+    others = found.groupBy("of_anchor", "of_ctx").agg(F.array_sort(F.collect_list(F.struct("part", "low"))).alias("x")).select(F.col("of_anchor").alias("anchor"), F.col("of_ctx").alias("ctx"), F.flatten("x.low").alias("low"))
     owners = stored(shards.unionByName(others))
     judged = stored(reps.select("anchor", "ctx", "ways", F.col("o").alias("own")).join(owners, ["anchor", "ctx"], "left"))
 
