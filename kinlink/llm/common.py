@@ -32,9 +32,11 @@ def documents(df: DataFrame, *extra: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests, local mode), a new temporary folder."""
+    """The folder in spark.checkpoint.dir; where that is unset, a new temporary folder, in local mode alone."""
     said = spark.conf.get("spark.checkpoint.dir", None)
     if not said:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         said = _OWN.setdefault("dir", tempfile.mkdtemp(prefix="kinlink-"))
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(said)

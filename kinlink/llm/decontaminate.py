@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, documents, map_texts, stored
+from .common import alnum_words, documents, fresh, map_texts, stored
 
 INDEX = "doc_ids array<long>, n_words array<int>, terms array<binary>, counts array<int>, positions binary"
 SPANS = "doc_id long, n_words long, spans array<struct<start:int,end:int>>, items array<long>"
@@ -183,12 +183,13 @@ def keep_uncontaminated(docs: DataFrame, items: DataFrame, window: int = 10) ->
     searched by themselves and joined by their text.
     """
     hit = F.size("spans") > 0
-    named = search(build_index(docs.filter("doc_id is not null")), items, window).filter(hit).select(F.col("doc_id").alias("_hit_id")).distinct()
-    kept = docs.filter("doc_id is not null").join(named, F.col("doc_id").cast("long") == F.col("_hit_id"), "left_anti")
+    by = fresh(docs, "hit_id")
+    named = search(build_index(docs.filter("doc_id is not null")), items, window).filter(hit).select(F.col("doc_id").alias(by)).distinct()
+    kept = docs.filter("doc_id is not null").join(named, F.col("doc_id").cast("long") == F.col(by), "left_anti")
     lost = docs.filter("doc_id is null")
     by_text = lost.select(F.xxhash64("text").alias("doc_id"), "text")
-    bad = search(build_index(by_text), items, window).filter(hit).select(F.col("doc_id").alias("_hit_id")).distinct()
-    return kept.unionByName(lost.join(bad, F.xxhash64("text") == F.col("_hit_id"), "left_anti")).select(*docs.columns)
+    bad = search(build_index(by_text), items, window).filter(hit).select(F.col("doc_id").alias(by)).distinct()
+    return kept.unionByName(lost.join(bad, F.xxhash64("text") == F.col(by), "left_anti")).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def proximity(index: DataFrame, phrases: dict[int, str], slop: int = 5) -> DataFrame:

@@ -7,6 +7,9 @@ decoded by Viterbi. The labelled pages are written by ``labelled_pages``: random
 footers, sidebars, notices, adverts, forms and reader comments, whose blocks are known by construction. Training takes a
 fixed number of pages, so it costs the same for every input; extraction is one pass without a shuffle.
 
+A tag that no > ends is text; an unclosed comment runs to the end of the page. Of a block's ancestors the innermost ANCESTORS
+count. Reading takes time in proportion to the page, also where tags are unclosed or nested thousands deep.
+
 Edge cases: null and empty html have an empty text; a page without any tag is one block; repeated pages are extracted each;
 an empty table gives no rows.
 """
@@ -17,6 +20,7 @@ import html as entities
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -37,7 +41,11 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kb
 ENDS_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 #: An opening tag ends an open element of the same kind.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?=>)|[^>]*+)>", re.S)
+#: What runs to the end of a page if it isn't closed.
+OPEN = re.compile(r"<!--|<[!?]")
+#: Ancestors that count, from the block outward; so a block costs the same at any depth.
+ANCESTORS = 64
 NAME = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[a-z]+")
 #: Blanks in the sense of HTML and of the contract's output: any white space becomes one space.
@@ -57,9 +65,12 @@ class Block:
 
 def tokens(page: str) -> Iterator[tuple[re.Match, int]]:
     """Each tag or comment, and where the page goes on: after it, or after the raw text that it opens."""
-    at = 0
-    while m := TOKEN.search(page, at):
+    at, stop = 0, page.rfind(">") + 1
+    # every tag that begins before the last > ends, so no place is read twice
+    while m := TOKEN.search(page, at, stop):
         at = m.end()
+        if m[0].startswith("<!--") and not m[0].endswith("-->"):
+            at = len(page)
         ends = None if m[1] or not m[2] or m[3].endswith("/") else RAW_TEXT.get(m[2].lower())
         if ends:
             at = last.end() if (last := ends.search(page, at)) else len(page)
@@ -71,11 +82,19 @@ def blocks_of(page: str) -> list[Block]:
     found: list[Block] = []
     stack: list[tuple[str, frozenset[str], int]] = []  # tag, own words, number
     text: list[str] = []
+    opened: Counter[str] = Counter()
     linked = number = 0
     state: tuple | None = None
+    if unclosed := OPEN.search(page, page.rfind(">") + 1):
+        page = page[: unclosed.start()]
 
     def here() -> tuple:
-        return tuple(t for t, _, _ in stack if t not in INLINE), frozenset().union(*(n for _, n, _ in stack)), next((k for t, _, k in reversed(stack) if t not in INLINE), 0)
+        near = stack[-ANCESTORS:]
+        return tuple(t for t, _, _ in near if t not in INLINE), frozenset().union(*(n for _, n, _ in near)), next((k for t, _, k in reversed(near) if t not in INLINE), 0)
+
+    def drop(i: int, j: int | None = None) -> None:
+        opened.subtract(t for t, _, _ in stack[i:j])
+        del stack[i:j]
 
     def flush() -> None:
         nonlocal linked, state
@@ -92,7 +111,7 @@ def blocks_of(page: str) -> list[Block]:
             if state is None and not piece.isspace():
                 state = here()
             text.append(piece)
-            if any(t == "a" for t, _, _ in stack):
+            if opened["a"]:
                 linked += len(piece)
 
     at = 0
@@ -110,18 +129,20 @@ def blocks_of(page: str) -> list[Block]:
         if tag not in INLINE:
             flush()
         if close:
-            if any(t == tag for t, _, _ in stack):
+            if opened[tag] > 0:
                 # an end tag closes what is open inside it; one of an inline element doesn't close blocks
                 if tag in INLINE:
                     for i in range(len(stack) - 1, -1, -1):
                         if stack[i][0] == tag:
-                            del stack[i]
+                            drop(i, i + 1)
                             break
                         if stack[i][0] not in INLINE:
                             break
                 else:
-                    while stack.pop()[0] != tag:
-                        pass
+                    i = len(stack) - 1
+                    while stack[i][0] != tag:
+                        i -= 1
+                    drop(i)
             continue
         if tag in RAW:
             skip = "" if m[3].endswith("/") or tag in RAW_TEXT else tag
@@ -131,20 +152,21 @@ def blocks_of(page: str) -> list[Block]:
         if tag in ENDS_P:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":
-                    del stack[i:]
+                    drop(i)
                     break
                 if stack[i][0] not in INLINE:
                     break
-        for other in SIBLINGS.get(tag, ()):
+        for other in (x for x in SIBLINGS.get(tag, ()) if opened[x] > 0):
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == other:
-                    del stack[i:]
+                    drop(i)
                     break
                 if stack[i][0] in ("ul", "ol", "dl", "table", "select"):
                     break
         number += 1
         names = frozenset(WORD.findall(" ".join("".join(x) for x in NAME.findall(m[3])).lower())) if m[3] else frozenset()
         stack.append((tag, names, number))
+        opened[tag] += 1
     if not skip:
         add(page[at:])
     flush()
@@ -165,8 +187,8 @@ def features(blocks: list[Block]) -> list[list[int]]:
     last = max(1, len(blocks) - 1)
     for i, b in enumerate(blocks):
         n, share = len(b.text), b.linked / len(b.text)
-        alpha = sum(map(str.isalpha, b.text[:200]))
-        said = ["bias", f"own {b.own}", f"depth {min(9, len(b.tags))}", f"length {min(12, n.bit_length())}", f"words {min(10, b.text.count(' ').bit_length())}", f"links {int(share * 4)}", f"letters {int(4 * alpha / min(200, n))}", f"stop {b.text[-1] in '.!?…:;»”'}", f"comma {',' in b.text}", f"where {int(5 * i / last)}", f"near {min(6, b.near.bit_length())}", f"sign {'©' in b.text or '·' in b.text or '|' in b.text}"]
+        alpha = sum(map(str.isalpha, b.text))
+        said = ["bias", f"own {b.own}", f"depth {min(9, len(b.tags))}", f"length {min(12, n.bit_length())}", f"words {min(10, b.text.count(' ').bit_length())}", f"links {int(share * 4)}", f"letters {int(4 * alpha / n)}", f"stop {b.text[-1] in '.!?…:;»”'}", f"comma {',' in b.text}", f"where {int(5 * i / last)}", f"near {min(6, b.near.bit_length())}", f"sign {'©' in b.text or '·' in b.text or '|' in b.text}"]
         said += [f"in {t}" for t in set(b.tags)]
         said += [f"name {w}" for w in b.names]
         if len(b.tags) > 1:
@@ -243,9 +265,12 @@ class Field:
         return self
 
 
-def labelled_pages(n: int, seed: int = 11) -> Iterator[tuple[str, list[tuple[str, int]]]]:
-    """Random pages and their blocks: (text, 1 if it is main text)."""
-    rng = random.Random(seed)
+def labelled_pages(n: int, seed: int = 11, plain: float = 0.0) -> Iterator[tuple[str, list[tuple[str, int]]]]:
+    """Random pages and their blocks: (text, 1 if it is main text).
+
+    plain: share of the pages whose section elements are divs and whose class and id words say nothing.
+    """
+    rng, other = random.Random(seed), random.Random(seed + 1)
     letters = "abcdefghilmnoprstuvéäñ"
 
     def words(low: int, high: int) -> str:
@@ -377,7 +402,11 @@ def labelled_pages(n: int, seed: int = 11) -> Iterator[tuple[str, list[tuple[str
                 links(1, 5)
             tag(closer)
         tag("</body></html>" if rng.random() < 0.8 else "")
-        yield "".join(m for m, _, _ in out), [(t, y) for _, t, y in out if t is not None]
+        page = "".join(m for m, _, _ in out)
+        if other.random() < plain:
+            page = re.sub(r"(</?)(?:article|main|header|footer|nav|aside|section)(?=[ >])", r"\1div", page)
+            page = re.sub(r'(class|id)="[^"]*"', lambda m: f'{m[1]}="{"".join(other.choices(letters, k=6))}"', page)
+        yield page, [(t, y) for _, t, y in out if t is not None]
 
 
 _FIELDS: dict[tuple[int, int], Field] = {}

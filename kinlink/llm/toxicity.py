@@ -10,7 +10,7 @@ table has a fixed size as well, so the fit needs the same memory at every size o
 
 Edge cases: null and empty texts are scored by the intercept; of several labels of one doc_id the largest counts; rows
 without a label value do not train; with no labels, or of one class only, every score is the share of that class
-(smoothed); an empty table gives no rows.
+(smoothed by odds of one to two, so that no labels reject nothing); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -70,7 +70,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", most: int = M
     n_neg, n_pos = classes.get(False, 0), classes.get(True, 0)
     weights = np.zeros(1 << BITS, np.float32)
     if not n_neg or not n_pos:
-        return {"weights": weights, "bias": np.float64(np.log((n_pos + 1) / (n_neg + 1)))}
+        return {"weights": weights, "bias": np.float64(np.log((n_pos + 1) / (n_neg + 2)))}
 
     def make():
         n = np.zeros((2, 1 << BITS), np.int32)
@@ -94,7 +94,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", most: int = M
     chi = n * F.pow(pos * (n_neg - neg) - neg * (n_pos - pos), 2) / F.greatest(F.lit(1.0), F.lit(float(n_pos * n_neg)) * (neg + pos) * (n - neg - pos))
     best = counts.filter(neg + pos >= LEAST_DOCUMENTS).orderBy(chi.desc(), "feature").limit(KEPT).toPandas().sort_values("feature")
     if not len(best):
-        return {"weights": weights, "bias": np.float64(np.log((n_pos + 1) / (n_neg + 1)))}
+        return {"weights": weights, "bias": np.float64(np.log((n_pos + 1) / (n_neg + 2)))}
     feature = best.feature.to_numpy()
     ratio = np.log((best.pos.to_numpy() + 1) / (n_pos + 2)) - np.log((best.neg.to_numpy() + 1) / (n_neg + 2))
     slot = np.full(1 << BITS, -1, np.int32)

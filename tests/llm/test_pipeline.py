@@ -61,3 +61,29 @@ def test_pipeline(spark, tmp_path):
     key = lambda r: (r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens)
     assert sorted(map(key, done)) == sorted(map(key, kept["packing"])) and {r.doc_id for r in done} == set(free)
     assert all(packing.lengths(r.doc_tokens) for r in done) and secrets.BASE
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Empty tables, nulls in every column, repeated rows, clashing names and a very long text; each stage keeps the columns."""
+    wide = SCHEMA + ", _hit_id long, row long, `id` string, word long, bits long, `can` string, spans string, score double"
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rng = random.Random(4)
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(60_000))
+    extra = (7, 8, "x", 9, 10, "y", "z", 0.5)
+    rows = [(1, "one two three four five six", "en", "s", 27, *extra), (1, "one two three four five six", "en", "s", 27, *extra), (1, "another text under the same id", "en", "s", 30, *extra), (2, long, "en", "s", len(long), *extra), (3, long, "en", "s", len(long), *extra), (4, "", None, None, None, *[None] * 8), (5, None, None, None, None, *[None] * 8), (None, "a null id stands before this text", None, None, None, *[None] * 8)]
+    for name, data in (("empty", []), ("odd", rows)):
+        docs = spark.createDataFrame(data, wide)
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, str(tmp_path))
+            if k < 4:
+                assert out.schema.names == docs.schema.names
+            out.write.parquet(path := f"{tmp_path}/{name}-{k}")
+            docs = spark.read.parquet(path)
+            got = sorted(str(r.doc_id) for r in docs.collect())
+            if name == "empty":
+                assert got == []
+            elif k == 0:
+                assert len(got) == 8
+            elif k < 4:
+                assert got == ["1", "1", "2", "4", "5", "None"]
