@@ -220,28 +220,26 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     """a, b: links that connect all linked nodes."""
     keys = stored(keyed(sets, percent))
     found, known = dense(keys.filter(F.col("size") > BLOCK).select("node", "key"), sets, percent)
-    if known is None:
-        now, open_ = keys.withColumn("component", F.col("node")), keys.filter(F.col("size") > FEW)
-    else:
-        now = stored(keys.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")))
-        mixed = stored(now.filter(F.col("size") > FEW).groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d").select("key"))
-        open_ = keys.join(mixed, "key")
+    now = stored(keys.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    mixed = stored(now.filter(F.col("size") > FEW).groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d").select("key"))
+    open_ = keys.join(mixed, "key")
     few = now.filter(F.col("size") <= FEW)
     alike = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
     pairs = few.select("key", F.col("node").alias("rep"), F.col("n").alias("m"), F.col("component").alias("c")).join(few.select("key", "node", "n", "component"), "key").filter(F.expr("rep < node and c <> component") & alike).select("rep", "node").distinct()
     edges = promising(pairs, sets, percent).select(F.col("rep").alias("a"), F.col("node").alias("b")).unionByName(open_.select(F.col("low").alias("a"), F.col("node").alias("b")).distinct())
     family = components(edges).withColumnRenamed("component", "family")
-    nodes = family.withColumn("component", F.col("node")) if known is None else family.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    nodes = family.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     found.append(stored(compare(sets, crossings(stored(nodes)), percent)))
     return reduce(DataFrame.unionByName, found)
 
 
-def dense(keys: DataFrame, sets: DataFrame, percent: int) -> tuple[list[DataFrame], DataFrame | None]:
+def dense(keys: DataFrame, sets: DataFrame, percent: int) -> tuple[list[DataFrame], DataFrame]:
     """Links of the nodes of large keys with representatives, and the components (node, component) that they make."""
-    found, known, before, turn = [], None, None, 0
+    found, before, turn = [], None, 0
+    known = keys.sparkSession.createDataFrame([], "node long, component long")
     while True:
         turn += 1
-        now = keys.withColumn("component", F.col("node")) if known is None else keys.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        now = keys.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
         choice = F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("rep")
         reps = stored(now.groupBy("key").agg(choice, F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key", F.col("rep.node").alias("rep"), F.col("rep.component").alias("rep_component")))
         now = stored(now.join(reps, "key"))
