@@ -116,19 +116,12 @@ def id_correlation(spark, d):
     return _six(profile.id_correlation(entities.views(spark, d)[2]))
 
 
-_POOLED = f"SELECT entity_id, country FROM (SELECT entity_id, country FROM {_raw('pool')} p WHERE country IN ('US', 'India') AND entity_id IN (SELECT cand_id FROM ({entities.TRUTH.format(part='part')}) WHERE s1_id LIKE '%0') UNION ALL SELECT entity_id, country FROM (SELECT entity_id, country, row_number() OVER (PARTITION BY country ORDER BY entity_id) AS place FROM {_raw('pool')} p WHERE country IN ('US', 'India') AND entity_id NOT IN (SELECT cand_id FROM ({entities.TRUTH.format(part='part')}) WHERE s1_id LIKE '%0')) WHERE place <= 200)"
+_POOLED = f"SELECT entity_id, country FROM (SELECT entity_id, country FROM {_raw('pool')} p WHERE country IN ('US', 'India') AND entity_id IN (SELECT cand_id FROM ({entities.TRUTH.format(part='part')})) UNION ALL SELECT entity_id, country FROM (SELECT entity_id, country, row_number() OVER (PARTITION BY country ORDER BY entity_id) AS place FROM {_raw('pool')} p WHERE country IN ('US', 'India') AND entity_id NOT IN (SELECT cand_id FROM ({entities.TRUTH.format(part='part')}))) WHERE place <= 200)"
 
 
 @query("pool_with_distractors", _POOLED)
 def pool_with_distractors(spark, d):
-    _, pool, truth = entities.views(spark, d)
-    targets = truth.filter(F.col("s1_id").endswith("0")).select(F.col("cand_id").alias("entity_id"))
-    return tables.pool(pool, targets, ["US", "India"], 200).select("entity_id", "country")
-
-
-@query("pool_with_all_matches", _POOLED.replace(" WHERE s1_id LIKE '%0'", ""))
-def pool_with_all_matches(spark, d):
-    """As pool_with_distractors, with every true match as a target."""
+    """Every true match is a target; the cap a country on other records is the feature."""
     _, pool, truth = entities.views(spark, d)
     return tables.pool(pool, truth.select(F.col("cand_id").alias("entity_id")), ["US", "India"], 200).select("entity_id", "country")
 

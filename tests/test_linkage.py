@@ -192,5 +192,5 @@ def test_catalog_has_sql():
 def test_pool_keeps_every_match(spark):
     _, pool, truth = catalog.entities.views(spark, "/root/testdata/sf0.01")
     want = {r.entity_id for r in pool.filter("country IN ('US', 'India')").join(truth, F.col("entity_id") == F.col("cand_id"), "left_semi").collect()}
-    got = [r.entity_id for r in catalog.QUERIES["pool_with_all_matches"](spark, "/root/testdata/sf0.01").collect()]
+    got = [r.entity_id for r in catalog.QUERIES["pool_with_distractors"](spark, "/root/testdata/sf0.01").collect()]
     assert want and want <= set(got) and len(got) == len(set(got))
