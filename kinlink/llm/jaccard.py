@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import WordHash, components, cut, discard, documents, fresh, likely, lower_words, map_texts, shingles, stored
 
 #: Nodes in a block of a comparison.
-BLOCK = 256
+BLOCK = 192
 #: A token of more prefixes than this is frequent.
 FREQUENT = 4
 #: A key of more nodes than this makes no pair rows.
@@ -220,7 +220,7 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     """a, b: links that connect all linked nodes."""
     keys = stored(keyed(sets, percent))
     found, known = dense(keys.filter(F.col("size") > BLOCK).select("node", "key"), sets, percent)
-    now = stored(keys.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    now = stored(placed(keys, known))
     mixed = stored(now.filter(F.col("size") > FEW).groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d").select("key"))
     open_ = keys.join(mixed, "key")
     few = now.filter(F.col("size") <= FEW)
@@ -233,13 +233,20 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def placed(keys: DataFrame, known: DataFrame) -> DataFrame:
+    """The keys with the components of their nodes; only rows whose node can be known are dealt."""
+    marked = likely(keys, F.col("node"), known.select(F.col("node").alias("key")), "can")
+    told = marked.filter("can").drop("can").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return told.unionByName(marked.filter("not can").drop("can").withColumn("component", F.col("node")))
+
+
 def dense(keys: DataFrame, sets: DataFrame, percent: int) -> tuple[list[DataFrame], DataFrame]:
     """Links of the nodes of large keys with representatives, and the components (node, component) that they make."""
     found, before, turn = [], None, 0
     known = keys.sparkSession.createDataFrame([], "node long, component long")
     while True:
         turn += 1
-        now = keys.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        now = placed(keys, known)
         choice = F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("rep")
         reps = stored(now.groupBy("key").agg(choice, F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key", F.col("rep.node").alias("rep"), F.col("rep.component").alias("rep_component")))
         now = stored(now.join(reps, "key"))
@@ -321,7 +328,7 @@ def compare(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy(*group).applyInPandas(linked, "a long, b long")
 
 
-def link_sets(parts: list[np.ndarray], percent: int, side: np.ndarray | None = None, columns: int = 8192) -> list[tuple[int, int]]:
+def link_sets(parts: list[np.ndarray], percent: int, side: np.ndarray | None = None, columns: int = 4096) -> list[tuple[int, int]]:
     """A spanning forest of the linked pairs of two sides (of all pairs if there is one side), by exact intersection counts."""
     n = np.array([len(p) for p in parts], np.int64)
     side = np.zeros(len(parts), np.int64) if side is None else side
