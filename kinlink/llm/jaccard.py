@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import WordHash, components, cut, discard, documents, fresh, likely, lower_words, map_texts, shingles, stored
 
 #: Nodes in a block of a comparison.
-BLOCK = 192
+BLOCK = 256
 #: A token of more prefixes than this is frequent.
 FREQUENT = 4
 #: A key of more nodes than this makes no pair rows.
