@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +45,6 @@ def shared_folder(spark: SparkSession) -> str:
     return said
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a small frame with a reliable checkpoint."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the frame doesn't have."""
     taken = {c.lower() for c in df.columns}
@@ -75,11 +71,55 @@ def likely(df: DataFrame, key: Column, among: DataFrame, name: str) -> DataFrame
     return found.withColumn(name, F.coalesce(F.col(b).bitwiseAND(bit(key)) != 0, F.lit(False))).drop(w, b)
 
 
+#: Makes Spark delete a query's shuffle files when the query is over and not when the driver next collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: The tables of the innermost scratch().
+_HELD: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("held", default=None)
+
+
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write a frame as Parquet (in the shared folder if no path is given) and read it back."""
-    path = path or f"{shared_folder(df.sparkSession)}/kinlink-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, own = df.sparkSession, path is None
+    path = path or f"{shared_folder(spark)}/kinlink-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    read = spark.read.schema(df.schema).parquet(path)
+    if own and (held := _HELD.get()) is not None:
+        held.append((spark, path))
+    return read
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables that stored() writes in the block are deleted at its end, but for those written by the function that it gives.
+
+    Those belong to the block around this one, if there is one. So nothing that is read after the block may be lazy.
+    """
+    outer, held = _HELD.get(), []
+    token = _HELD.set(held)
+
+    def keep(df: DataFrame) -> DataFrame:
+        out = stored(df)
+        here = held.pop()
+        if outer is not None:
+            outer.append(here)
+        return out
+
+    try:
+        yield keep
+    finally:
+        _HELD.reset(token)
+        for spark, path in held:
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def discard(df: DataFrame) -> None:
@@ -87,8 +127,7 @@ def discard(df: DataFrame) -> None:
     spark = df.sparkSession
     for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
         if path.startswith(shared_folder(spark)) or "/kinlink-" in path:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            delete(spark, path)
 
 
 def lower_words(text: str) -> list[bytes]:
@@ -185,20 +224,22 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of the edges: one row (node, component) per node, component being its smallest node.
 
     Alternates large-star and small-star steps; all keys are nodes, a hot node's rows are combined before the shuffle,
-    and each round is checkpointed. Nodes that have no edge are not returned.
+    and each round is written to the shared folder. Nodes that have no edge are not returned.
     """
-    e, before = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()), None
-    n = e.count()
-    while True:
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = with_least(both, 2 * n).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
-        e = cut(with_least(large, n).select(F.explode(F.array("v", "u")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before, n = now, now[0]
-    tops = e.select(F.col("v").alias("node")).distinct()
-    return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(tops.join(e.select(F.col("u").alias("node")), "node", "left_anti").withColumn("component", F.col("node")))
+    with scratch() as keep:
+        e, before = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()), None
+        n = e.count()
+        while True:
+            both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            large = with_least(both, 2 * n).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+            e, last = stored(with_least(large, n).select(F.explode(F.array("v", "u")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()), e
+            discard(last)
+            now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if now == before:
+                break
+            before, n = now, now[0]
+        # each edge of a star leads to its least node
+        return keep(e.unionByName(e.select(F.col("v").alias("u"), "v")).groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")))
 
 
 #: A key with more than one in so many of all rows is hot, so there are fewer hot keys than this.

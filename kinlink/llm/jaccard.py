@@ -27,7 +27,7 @@ tokens are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 
 import numpy as np
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, components, cut, discard, documents, fresh, likely, lower_words, map_texts, shingles, stored
+from .common import WordHash, components, documents, fresh, likely, lower_words, map_texts, scratch, shingles, stored
 
 #: Nodes in a block of a comparison.
 BLOCK = 256
@@ -140,27 +140,27 @@ def nodes_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """row, doc_id, n, node, component (a node) of every row; node and component are null without shingles."""
-    made = stored(nodes_of(docs, size, percent))
-    full = made.filter("node is not null")
-    nodes = full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("may_lack").alias("may_lack"))
-
-    tokens = full.select("node", F.explode("prefix").alias("token"))
-    alone = tokens.groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other").groupBy("node").agg(F.count("*").alias("lacks"))
-    left = cut(nodes.join(alone, "node", "left").filter(F.coalesce("lacks", F.lit(0)) <= F.col("may_lack")).select("node", "first_id"))
-
-    rows = stored(made.select("row", "doc_id", "n", "node"))
-    discard(made)  # the prefixes have done their work
-    sets = stored(survivors(docs, left, size, percent))
-    found = stored(links(sets, percent))
-    discard(sets)
-    groups = stored(components(found))
-    joined = rows.filter("node is not null").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return joined.unionByName(rows.filter("node is null").withColumn("component", F.lit(None).cast("long")))
+    with scratch() as keep:
+        with scratch() as keep_:
+            made = stored(nodes_of(docs, size, percent))
+            full = made.filter("node is not null")
+            nodes = full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("may_lack").alias("may_lack"))
+
+            tokens = full.select("node", F.explode("prefix").alias("token"))
+            alone = tokens.groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other").groupBy("node").agg(F.count("*").alias("lacks"))
+            left = keep_(nodes.join(alone, "node", "left").filter(F.coalesce("lacks", F.lit(0)) <= F.col("may_lack")).select("node", "first_id"))
+            rows = keep_(made.select("row", "doc_id", "n", "node"))
+        # the prefixes have done their work and are gone
+        with scratch() as keep_:
+            sets = stored(survivors(docs, left, size, percent))
+            found = keep_(links(sets, percent))
+        joined = rows.filter("node is not null").join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        return keep(joined.unionByName(rows.filter("node is null").withColumn("component", F.lit(None).cast("long"))))
 
 
 def link(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row."""
-    rows = stored(grouped(docs, size, percent))
+    rows = grouped(docs, size, percent)
     full = rows.filter("component is not null")
     least = stored(full.groupBy("component").agg(F.min("doc_id").alias("component_id")))
     named = full.join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
@@ -193,9 +193,6 @@ def survivors(docs: DataFrame, left: DataFrame, size: int, percent: int) -> Data
 
 def keyed(sets: DataFrame, percent: int) -> DataFrame:
     """key, node, n, size, low of every node and key that it shares with another node; size and least node of the key."""
-    tokens = sets.select("node", F.posexplode("head").alias("pos", "token"))
-    often = stored(tokens.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > FREQUENT).select("token"))
-    places = likely(tokens, F.col("token"), often.select(F.col("token").alias("key")), "can").filter("can").join(often, "token").groupBy("node").agg(F.collect_set("pos").alias("often"))
 
     def make():
         def keys(block: dict) -> Iterator[dict]:
@@ -209,28 +206,36 @@ def keyed(sets: DataFrame, percent: int) -> DataFrame:
 
         return keys
 
-    found = stored(map_texts(sets.select("node", "n", "head").join(places, "node", "left"), make, "node long, n long, rare array<long>, wants array<long>, offers array<long>"))
-    each = reduce(DataFrame.unionByName, (found.select("node", "n", F.explode(c).alias("key"), F.lit(c != "offers").alias("wanted")) for c in ("rare", "wants", "offers")))
-    least, most = F.min("node").alias("low"), F.max("node").alias("high")
-    shared = stored(each.groupBy("key").agg(least, most, F.max("wanted").alias("wanted"), F.count("*").alias("size")).filter("low < high and wanted").select("key", "size", "low"))
-    return each.select("node", "n", "key").join(shared, "key")
+    with scratch() as keep:
+        tokens = sets.select("node", F.posexplode("head").alias("pos", "token"))
+        often = stored(tokens.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > FREQUENT).select("token"))
+        places = likely(tokens, F.col("token"), often.select(F.col("token").alias("key")), "can").filter("can").join(often, "token").groupBy("node").agg(F.collect_set("pos").alias("often"))
+        found = stored(map_texts(sets.select("node", "n", "head").join(places, "node", "left"), make, "node long, n long, rare array<long>, wants array<long>, offers array<long>"))
+        each = reduce(DataFrame.unionByName, (found.select("node", "n", F.explode(c).alias("key"), F.lit(c != "offers").alias("wanted")) for c in ("rare", "wants", "offers")))
+        least, most = F.min("node").alias("low"), F.max("node").alias("high")
+        shared = stored(each.groupBy("key").agg(least, most, F.max("wanted").alias("wanted"), F.count("*").alias("size")).filter("low < high and wanted").select("key", "size", "low"))
+        return keep(each.select("node", "n", "key").join(shared, "key"))
 
 
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """a, b: links that connect all linked nodes."""
-    keys = stored(keyed(sets, percent))
-    found, known = dense(keys.filter(F.col("size") > BLOCK).select("node", "key"), sets, percent)
-    now = stored(placed(keys, known))
-    mixed = stored(now.filter(F.col("size") > FEW).groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d").select("key"))
-    open_ = keys.join(mixed, "key")
-    few = now.filter(F.col("size") <= FEW)
-    alike = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    pairs = few.select("key", F.col("node").alias("rep"), F.col("n").alias("m"), F.col("component").alias("c")).join(few.select("key", "node", "n", "component"), "key").filter(F.expr("rep < node and c <> component") & alike).select("rep", "node").distinct()
-    edges = promising(pairs, sets, percent).select(F.col("rep").alias("a"), F.col("node").alias("b")).unionByName(open_.select(F.col("low").alias("a"), F.col("node").alias("b")).distinct())
-    family = components(edges).withColumnRenamed("component", "family")
-    nodes = family.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    found.append(stored(compare(sets, crossings(stored(nodes)), percent)))
-    return reduce(DataFrame.unionByName, found)
+    with scratch() as keep:
+        with scratch() as keep_:
+            keys = keyed(sets, percent)
+            found, known = dense(keys.filter(F.col("size") > BLOCK).select("node", "key"), sets, percent, keep_)
+            now = stored(placed(keys, known))
+            mixed = now.filter(F.col("size") > FEW).groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d").select("key")
+            open_ = keys.join(mixed, "key")
+            few = now.filter(F.col("size") <= FEW)
+            alike = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+            pairs = few.select("key", F.col("node").alias("rep"), F.col("n").alias("m"), F.col("component").alias("c")).join(few.select("key", "node", "n", "component"), "key").filter(F.expr("rep < node and c <> component") & alike).select("rep", "node").distinct()
+            near = promising(pairs, sets, percent)
+            edges = keep_(near.select(F.col("rep").alias("a"), F.col("node").alias("b")).unionByName(open_.select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()))
+        with scratch() as keep_:
+            family = components(edges).withColumnRenamed("component", "family")
+            nodes = keep_(family.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        found.append(compare(sets, crossings(nodes), percent))
+        return keep(reduce(DataFrame.unionByName, found))
 
 
 def placed(keys: DataFrame, known: DataFrame) -> DataFrame:
@@ -240,8 +245,11 @@ def placed(keys: DataFrame, known: DataFrame) -> DataFrame:
     return told.unionByName(marked.filter("not can").drop("can").withColumn("component", F.col("node")))
 
 
-def dense(keys: DataFrame, sets: DataFrame, percent: int) -> tuple[list[DataFrame], DataFrame]:
-    """Links of the nodes of large keys with representatives, and the components (node, component) that they make."""
+def dense(keys: DataFrame, sets: DataFrame, percent: int, keep: Callable[[DataFrame], DataFrame]) -> tuple[list[DataFrame], DataFrame]:
+    """Links of the nodes of large keys with representatives, and the components (node, component) that they make.
+
+    Both are written by `keep`.
+    """
     found, before, turn = [], None, 0
     known = keys.sparkSession.createDataFrame([], "node long, component long")
     while True:
@@ -254,9 +262,11 @@ def dense(keys: DataFrame, sets: DataFrame, percent: int) -> tuple[list[DataFram
         if not n or before is not None and n > (1 - WORTH) * before:
             return found, known
         before = n
-        asks = promising(now.filter("component <> rep_component").select("rep", "node").distinct(), sets, percent)
-        found.append(stored(compare(sets, stars(stored(asks.groupBy("node").agg(F.max_by("rep", F.struct("shared", "rep")).alias("rep")))), percent)))
-        known = stored(components(reduce(DataFrame.unionByName, found)))
+        with scratch() as keep_:
+            asks = promising(now.filter("component <> rep_component").select("rep", "node").distinct(), sets, percent)
+            groups = keep_(stars(stored(asks.groupBy("node").agg(F.max_by("rep", F.struct("shared", "rep")).alias("rep")))))
+        found.append(keep(compare(sets, groups, percent)))
+        known = keep(components(reduce(DataFrame.unionByName, found)))
         keys = now.select("node", "key")
 
 
@@ -265,18 +275,19 @@ def promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     What a set shares with another beyond the prefix that ends first in the order is at most the rest of that set.
     """
-    pairs = stored(pairs)
+    with scratch() as keep:
+        pairs = stored(pairs)
 
-    def of(name: str, p: str) -> DataFrame:
-        can = likely(sets, F.col("node"), pairs.select(F.col(name).alias("key")), "can").filter("can")
-        # half of each token is enough to tell; where halves meet in a set, more may be shared than are seen
-        return can.select(F.col("node").alias(name), F.col("n").alias(f"n_{p}"), F.transform(F.slice("head", F.lit(1), F.col("lead")), lambda t: t.bitwiseAND(0x7FFFFFFF).cast("int")).alias(f"head_{p}"))
+        def of(name: str, p: str) -> DataFrame:
+            can = likely(sets, F.col("node"), pairs.select(F.col(name).alias("key")), "can").filter("can")
+            # half of each token is enough to tell; where halves meet in a set, more may be shared than are seen
+            return can.select(F.col("node").alias(name), F.col("n").alias(f"n_{p}"), F.transform(F.slice("head", F.lit(1), F.col("lead")), lambda t: t.bitwiseAND(0x7FFFFFFF).cast("int")).alias(f"head_{p}"))
 
-    both = pairs.join(of("rep", "x"), "rep").join(of("node", "y"), "node")
-    both = both.withColumn("shared", F.size(F.array_intersect("head_x", "head_y")) + F.size("head_x") - F.size(F.array_distinct("head_x")))
-    rest = F.greatest(F.col("n_x") - F.size("head_x"), F.col("n_y") - F.size("head_y"))
-    sizes = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent
-    return both.filter(sizes & ((F.col("shared") + rest) * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent)).select("rep", "node", "shared").distinct()
+        both = pairs.join(of("rep", "x"), "rep").join(of("node", "y"), "node")
+        both = both.withColumn("shared", F.size(F.array_intersect("head_x", "head_y")) + F.size("head_x") - F.size(F.array_distinct("head_x")))
+        rest = F.greatest(F.col("n_x") - F.size("head_x"), F.col("n_y") - F.size("head_y"))
+        sizes = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent
+        return keep(both.filter(sizes & ((F.col("shared") + rest) * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent)).select("rep", "node", "shared").distinct())
 
 
 def stars(asks: DataFrame) -> DataFrame:
@@ -294,26 +305,26 @@ def crossings(nodes: DataFrame) -> DataFrame:
     Components of BLOCK nodes or more are units of their own, whose nodes needn't meet each other; smaller ones share units of
     about BLOCK nodes. Each pair of blocks of two units is a group.
     """
-    sizes = stored(nodes.groupBy("family", "component").agg(F.count("*").alias("size")))
-    small = F.col("size") < BLOCK
-    shared = sizes.filter(small).groupBy("family").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("units"))
-    units = sizes.join(shared, "family", "left").select("family", "component", (~small).alias("pure"), F.when(small, F.pmod(F.xxhash64("component"), F.col("units"))).otherwise(F.col("component")).cast("long").alias("unit"), F.when(small, 1).otherwise(F.ceil(F.col("size") / BLOCK)).cast("int").alias("blocks"))
-    units = stored(units)
-    placed = stored(nodes.join(units, ["family", "component"]).select("node", "family", "pure", "unit", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")))
-    one = units.groupBy("family", "pure", "unit").agg(F.max("blocks").alias("blocks"))
-    x, y = one.select("family", *(F.col(c).alias(f"{c}_x") for c in ("pure", "unit", "blocks"))), one.select("family", *(F.col(c).alias(f"{c}_y") for c in ("pure", "unit", "blocks")))
-    before, same = F.struct("pure_x", "unit_x") < F.struct("pure_y", "unit_y"), (F.col("pure_x") == F.col("pure_y")) & (F.col("unit_x") == F.col("unit_y"))
-    pairs = x.join(y, "family").filter(before | same & ~F.col("pure_x"))
-    pairs = stored(pairs.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks_x") - 1))).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks_y") - 1))))
-    group = ["family", "pure_x", "unit_x", "i", "pure_y", "unit_y", "j"]
-    ends = lambda c, i: [F.col(f"pure_{c}").alias("pure"), F.col(f"unit_{c}").alias("unit"), F.col(i).alias("block")]
-    wanted = pairs.select(*group, F.lit(0).alias("side"), *ends("x", "i")).unionByName(pairs.filter(~same).select(*group, F.lit(1).alias("side"), *ends("y", "j")))
-    return placed.join(wanted, ["family", "pure", "unit", "block"]).select(*group, "side", "node")
+    with scratch() as keep:
+        sizes = stored(nodes.groupBy("family", "component").agg(F.count("*").alias("size")))
+        small = F.col("size") < BLOCK
+        shared = sizes.filter(small).groupBy("family").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("units"))
+        units = sizes.join(shared, "family", "left").select("family", "component", (~small).alias("pure"), F.when(small, F.pmod(F.xxhash64("component"), F.col("units"))).otherwise(F.col("component")).cast("long").alias("unit"), F.when(small, 1).otherwise(F.ceil(F.col("size") / BLOCK)).cast("int").alias("blocks"))
+        units = stored(units)
+        placed = stored(nodes.join(units, ["family", "component"]).select("node", "family", "pure", "unit", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")))
+        one = units.groupBy("family", "pure", "unit").agg(F.max("blocks").alias("blocks"))
+        x, y = one.select("family", *(F.col(c).alias(f"{c}_x") for c in ("pure", "unit", "blocks"))), one.select("family", *(F.col(c).alias(f"{c}_y") for c in ("pure", "unit", "blocks")))
+        before, same = F.struct("pure_x", "unit_x") < F.struct("pure_y", "unit_y"), (F.col("pure_x") == F.col("pure_y")) & (F.col("unit_x") == F.col("unit_y"))
+        pairs = x.join(y, "family").filter(before | same & ~F.col("pure_x"))
+        pairs = stored(pairs.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks_x") - 1))).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks_y") - 1))))
+        group = ["family", "pure_x", "unit_x", "i", "pure_y", "unit_y", "j"]
+        ends = lambda c, i: [F.col(f"pure_{c}").alias("pure"), F.col(f"unit_{c}").alias("unit"), F.col(i).alias("block")]
+        wanted = pairs.select(*group, F.lit(0).alias("side"), *ends("x", "i")).unionByName(pairs.filter(~same).select(*group, F.lit(1).alias("side"), *ends("y", "j")))
+        return keep(placed.join(wanted, ["family", "pure", "unit", "block"]).select(*group, "side", "node"))
 
 
 def compare(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """a, b: for each group a spanning forest of the links between its sides (or within its only side)."""
-    groups = stored(groups)
+    """a, b: for each group (a stored table) a spanning forest of the links between its sides (or within its only side)."""
     rows = likely(sets.select("node", "head", "rest"), F.col("node"), groups.select(F.col("node").alias("key")), "can").filter("can").drop("can").join(groups, "node")
     group = [c for c in groups.columns if c not in ("node", "side")]
 
