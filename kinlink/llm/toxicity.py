@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, documents, map_texts
+from .common import LOWER, documents, map_texts, scratch, stored
 
 #: Most labelled documents that the classifier is fitted on.
 MOST_LABELLED = 16_000
@@ -92,7 +92,8 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", most: int = M
     neg, pos, n = F.col("neg"), F.col("pos"), n_neg + n_pos
     # how well presence parts the classes: chi-square of the two-by-two table
     chi = n * F.pow(pos * (n_neg - neg) - neg * (n_pos - pos), 2) / F.greatest(F.lit(1.0), F.lit(float(n_pos * n_neg)) * (neg + pos) * (n - neg - pos))
-    best = counts.filter(neg + pos >= LEAST_DOCUMENTS).orderBy(chi.desc(), "feature").limit(KEPT).toPandas().sort_values("feature")
+    with scratch():
+        best = stored(counts.filter(neg + pos >= LEAST_DOCUMENTS).orderBy(chi.desc(), "feature").limit(KEPT)).toPandas().sort_values("feature")
     if not len(best):
         return {"weights": weights, "bias": np.float64(np.log((n_pos + 1) / (n_neg + 2)))}
     feature = best.feature.to_numpy()
