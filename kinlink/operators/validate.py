@@ -23,7 +23,17 @@ class Report:
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).filter(F.trim("value") != "")
+    """value, file, place (order within the file) of the lines that aren't blank."""
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("place")).filter(F.trim("value") != "")
+
+
+def without_header(every: DataFrame, header: str) -> DataFrame:
+    """The lines but for the header that a file begins with; a header that comes again is a line like any other."""
+    same = F.col("value") == F.lit(header)
+    files = every.groupBy("file").agg(F.min_by("value", "place").alias("value"), F.count_if(same).alias("n"))
+    again = files.agg(F.sum("n") - F.count_if(same)).first()[0]
+    return every.filter(~same).select("value").unionByName(every.sparkSession.range(again).select(F.lit(header).alias("value")))
 
 
 def parsed(rows: DataFrame) -> DataFrame:
@@ -75,18 +85,21 @@ def check_file(spark: SparkSession, path: str, header: tuple[str, str], required
     out = report or Report()
     try:
         every = lines(spark, path)
-        top = every.first()
+        top = every.select(F.when(F.is_valid_utf8("value"), F.col("value")).otherwise("").alias("value")).first()
     except AnalysisException as e:
         out.errors.append(f"{path} can't be read: {e.getCondition()}")
         return out, None
     if top is None:
         out.errors.append(f"{path} is empty")
         return out, None
+    if not every.filter(~F.is_valid_utf8("value")).isEmpty():
+        out.errors.append(f"{path} is not UTF-8")
+        return out, None
     said = [x.strip().lower() for x in top[0].split("\t")]
     if said != list(header):
         out.errors.append(f"{path}: the header is separated by commas" if "," in top[0] and "\t" not in top[0] else f"{path}: the header should be {header}")
         return out, None
-    rows = parsed(every.filter(F.col("value") != F.lit(top[0])))
+    rows = parsed(without_header(every, top[0]))
     found = faults(rows)
     if required is not None:
         found = found.unionByName(universe_faults(rows, required))

@@ -79,10 +79,20 @@ def write_tsv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").option("quote", "").csv(path)
 
 
+def with_position(df: DataFrame) -> DataFrame:
+    """A scan with row_ord, by which its rows sort as they stand in their files."""
+    return df.withColumn("row_ord", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")))
+
+
 def write_results(s1_ids: DataFrame, matching: DataFrame, blocked: DataFrame, folder: str, order: Column | None = None) -> None:
-    """Both result files, in the order of the S1 ids."""
+    """Both result files, in the order of the S1 records' file if they carry row_ord, else in that of their ids."""
     for name, df in (("matching_results", matching), ("candidate_pairs", blocked)):
-        write_tsv(df.orderBy(order if order is not None else F.col("source1_entity_id")), f"{folder}/{name}.tsv")
+        if order is None and "row_ord" in s1_ids.columns:
+            places = s1_ids.groupBy(F.col("entity_id").alias("source1_entity_id")).agg(F.min("row_ord").alias("row_ord"))
+            df = df.join(places, "source1_entity_id", "left").orderBy("row_ord").select(*df.columns)
+        else:
+            df = df.orderBy(order if order is not None else F.col("source1_entity_id"))
+        write_tsv(df, f"{folder}/{name}.tsv")
 
 
 def write_report(rows: list[tuple[str, DataFrame]], path: str, spark: SparkSession) -> None:

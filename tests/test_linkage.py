@@ -158,6 +158,53 @@ def test_validator(spark, tmp_path):
     assert not validate.validate(spark, f"{tmp_path}/none.tsv", None, None).ok
 
 
+def test_validator_bytes_and_repeated_headers(spark, tmp_path):
+    need = spark.createDataFrame([("S1-1",), ("S1-2",)], "entity_id string")
+    head = "source1_entity_id\tmatched_entity_ids\n"
+    (tmp_path / "bytes.tsv").write_bytes(head.encode() + b"S1-1\tS2-\xff\xfe\nS1-2\t\n")
+    assert any("UTF-8" in e for e in validate.validate(spark, f"{tmp_path}/bytes.tsv", None, need).errors)
+    (tmp_path / "first.tsv").write_bytes(b"\xff\xfe\n" + head.encode())
+    assert any("UTF-8" in e for e in validate.validate(spark, f"{tmp_path}/first.tsv", None, need).errors)
+    (tmp_path / "again.tsv").write_text(head + "S1-1\t\n" + head + "S1-2\tS2-1\n")
+    r = validate.validate(spark, f"{tmp_path}/again.tsv", None, need)
+    assert any("unexpected_s1: 1, as source1_entity_id" in e for e in r.errors) and r.info["n_rows"] == 3
+    (tmp_path / "parts").mkdir()  # each part of a written table has its header
+    (tmp_path / "parts/part-0.tsv").write_text(head + "S1-1\t\n")
+    (tmp_path / "parts/part-1.tsv").write_text(head + "S1-2\tS2-1\n")
+    r = validate.validate(spark, f"{tmp_path}/parts", None, need)
+    assert r.ok and r.info["n_rows"] == 2
+
+
+def test_ids_sample_and_report(spark, tmp_path):
+    (tmp_path / "ids.tsv").write_text("entity_id\tx\nS1-1\ta\n S1-1 \tb\nS1-2\tc\n")
+    assert sorted(r.entity_id for r in tables.read_ids(spark, f"{tmp_path}/ids.tsv").collect()) == ["S1-1", "S1-2"]
+    (tmp_path / "ids.txt").write_text("S1-1\n\n  S1-2 \n")
+    listed = tables.read_id_list(spark, f"{tmp_path}/ids.txt")
+    assert sorted(r.entity_id for r in listed.collect()) == ["S1-1", "S1-2"]
+    many = spark.range(50).select(F.concat(F.lit("S1-"), "id").alias("entity_id"))
+    one, two = (sorted(matching.random_sample(df, 9).collect()) for df in (many, many.repartition(5)))
+    assert one == two and len(set(one)) == 9
+    tables.write_report([("Ids", listed.orderBy("entity_id"))], f"{tmp_path}/report", spark)
+    assert "| S1-2 |" in "".join(p.read_text() for p in (tmp_path / "report").glob("part-*"))
+
+
+def test_command_line(spark, tmp_path):
+    from kinlink.__main__ import main
+
+    head = "entity_id\tbusiness_name\tbusiness_address\tcountry\n"
+    (tmp_path / "s1.tsv").write_text(head + "S1-9\tAcme Tools Inc.\t12 Main St, Springfield 62701\tUS\nS1-2\tSolitary Lighthouse\t99 Far Rd\tUS\nS1-5\tBlue Harbor LLC\t4 Oak Ave, Dover 19901\tUS\n")
+    (tmp_path / "s2.tsv").write_text(head + "S2-1\tACME TOOLS INCORPORATED\t12 Main Street, Springfield 62701\tUS\nS2-4\tBlue Harbor\t4 Oak Avenue, Dover 19901\tUS\n")
+    (tmp_path / "gt.tsv").write_text("source1_entity_id\tmatched_entity_ids\nS1-9\tS2-1\nS1-5\tS2-4\nS1-2\t\n")
+    sources = ["--s1", f"{tmp_path}/s1.tsv", "--pool", f"{tmp_path}/s2.tsv"]
+    assert main(["predict", *sources, "--out", f"{tmp_path}/out"]) == 0
+    rows = [x for p in sorted((tmp_path / "out/matching_results.tsv").glob("part-*")) for x in p.read_text().splitlines()[1:]]
+    assert rows == ["S1-9\tS2-1", "S1-2\t", "S1-5\tS2-4"]  # the order of the file, not of the ids
+    assert main(["validate", f"{tmp_path}/out/matching_results.tsv", "--candidates", f"{tmp_path}/out/candidate_pairs.tsv", *sources]) == 0
+    assert main(["validate", f"{tmp_path}/s1.tsv", *sources]) == 1
+    assert main(["block", *sources, "--truth", f"{tmp_path}/gt.tsv", "--out", f"{tmp_path}/blocked"]) == 0
+    assert "pair_recall" in "".join(p.read_text() for p in (tmp_path / "blocked/report").glob("part-*"))
+
+
 def test_train_save_load(spark, small, tmp_path):
     s1, pool = small
     truth = spark.createDataFrame([("S1-1", "S2-1"), ("S1-2", "S3-1"), ("S1-3", "S2-2")], "s1_id string, cand_id string")
