@@ -8,6 +8,7 @@ from kinlink.config import CONFIG_B, DEFAULT
 from kinlink.operators import channels
 from kinlink.operators.normalize import normalize, with_source
 from kinlink.plans import linkage
+from pyspark.sql import functions as F
 
 SOURCE = "entity_id string, business_name string, business_address string, country string"
 
@@ -67,3 +68,34 @@ def test_likeness_is_taken_once_a_text(spark):
     near = channels.similar(s1, pool, "char_tfidf", CONFIG_B)
     assert {(r.s1_id, r.cand_id) for r in near.collect() if r.s1_id in ("S1-0", "S1-7")} == {("S1-7", f"S2-{i}") for i in (1, 10, 100, 101, 102)}
     assert most_rows(spark, near) <= 3000  # and not 299 x 299
+
+
+@pytest.mark.parametrize("cfg", [replace(DEFAULT, total_cap=None), replace(CONFIG_B, signature=False), replace(DEFAULT, rare_token=False, postal=False, house=False)])
+def test_counted_is_the_uncapped_union(spark, crowd, cfg):
+    s1, pool = crowd
+    plain = channels.firings(s1, pool, cfg).groupBy("s1_id", "cand_id").agg(F.count("*").alias("n_rules"), F.countDistinct("rule").alias("n_kinds"))
+    got = channels.counted(s1, pool, cfg)
+    assert got.dtypes == plain.dtypes
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def operators(df):
+    """The names of the plan's operators, without adaptive execution."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        names, nodes = [], [df._jdf.queryExecution().executedPlan()]
+        while nodes:
+            node = nodes.pop()
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+            names.append(node.nodeName())
+        return names
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_names_do_not_travel_to_the_pairs(spark, crowd):
+    s1, pool = crowd
+    parts = [x.localCheckpoint() for x in channels.bounded(s1, pool, DEFAULT)]
+    joins = [x for x in operators(channels.known_pairs(parts, DEFAULT)) if "Join" in x]
+    assert not joins  # a pair's equal names are told where it is found
