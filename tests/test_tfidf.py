@@ -1,9 +1,11 @@
 """TF-IDF neighbours in blocks: those of all pairs, and what travels for them."""
 
+from dataclasses import replace
+
 import numpy as np
 import pyarrow as pa
 import pytest
-from kinlink.config import CONFIG_B
+from kinlink.config import CONFIG_B, CONFIG_C
 from kinlink.operators import channels, tfidf
 
 from tests.test_scale import crowd  # noqa: F401
@@ -60,3 +62,12 @@ def test_blocks_and_what_travels(spark, crowd, monkeypatch, rule):  # noqa: F811
     monkeypatch.setattr(tfidf, "OURS", 7)
     monkeypatch.setattr(tfidf, "THEIRS", 11)
     assert one and rows() == one
+
+
+@pytest.mark.parametrize("cfg", [replace(CONFIG_B, total_cap=6), replace(CONFIG_C, total_cap=5)])
+def test_capped_candidates_of_small_blocks(spark, crowd, monkeypatch, cfg):  # noqa: F811
+    s1, pool = crowd
+    want = channels.candidates(channels.firings(s1, pool, cfg), cfg.total_cap).collect()
+    monkeypatch.setattr(tfidf, "OURS", 7)
+    monkeypatch.setattr(tfidf, "THEIRS", 11)
+    assert sorted(map(tuple, channels.best(s1, pool, cfg).collect())) == sorted(map(tuple, want))
